@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality, token_counts
-from .common import table, tune
+from . import bpe, decontaminate, pii, quality, token_counts
+from .common import Scratch, table, tune
 
 #: Where the public vocabulary files are unless the installed package tells.
 TOKENIZERS = "/opt/tokenizers"
@@ -50,6 +50,22 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _of_kind(kind: str):
+    return lambda s: s["kind"] == kind
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents"), Scratch(spark, "op4"))
+    base = F.filter("spans", lambda s: s["base"])
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id",
+        *(F.size(F.filter(base, _of_kind(k))).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     found = quality.assess(table(spark, sf_dir, "documents"))
@@ -65,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_decontamination": op2_decontamination,
+        "op4_pii": op4_pii,
         "op6_quality_rules": op6_quality_rules,
         "op7_bpe": op7_bpe,
     }
