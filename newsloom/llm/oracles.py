@@ -25,6 +25,39 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM dw LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
 
+_OP8 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (
+  SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+    translate(concat(to_base(CAST(concat('0x', h[1:10]) AS BIGINT), 32, 8), to_base(CAST(concat('0x', h[11:20]) AS BIGINT), 32, 8),
+      to_base(CAST(concat('0x', h[21:30]) AS BIGINT), 32, 8), to_base(CAST(concat('0x', h[31:40]) AS BIGINT), 32, 8)),
+      '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest
+  FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS NOT DISTINCT FROM first_id OR first_id IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN NULL ELSE first_id END AS refers_to
+FROM f
+"""
+
+
+def _op10() -> str:
+    from .licenses import ABOUT, RULES, SENTENCES
+
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    cases = " ".join(f"WHEN regexp_full_match(s, {quoted(p)}) THEN {quoted(n)}" for n, p in SENTENCES)
+    parts = [
+        f"""cut AS (SELECT row_number() OVER () AS rid, doc_id, lower(coalesce("text", '')) AS t FROM documents),
+sent AS (SELECT rid, unnest(regexp_split_to_array(regexp_replace(t, '([.!?;:])[ \t\n\x0b\f\r]+', '\1' || chr(10), 'g'), chr(10))) AS raw, generate_subscripts(regexp_split_to_array(regexp_replace(t, '([.!?;:])[ \t\n\x0b\f\r]+', '\1' || chr(10), 'g'), chr(10)), 1) AS k FROM cut),
+norm AS (SELECT rid, k, trim(regexp_replace(raw, '[^a-z0-9]+', ' ', 'g')) AS s FROM sent),
+ids AS (SELECT rid, k, CASE {cases} ELSE 'Unknown' END AS id FROM norm WHERE regexp_matches(s, {quoted(ABOUT)})),
+r0 AS (SELECT rid, ';' || string_agg(id || ';', '' ORDER BY k) FILTER (id <> 'Unknown') AS seq, string_agg(id, ',' ORDER BY k) FILTER (id <> 'Unknown') AS sentence_ids, count(*) FILTER (id <> 'Unknown') AS n, count(*) FILTER (id = 'Unknown') AS u, CAST([] AS VARCHAR[]) AS found FROM ids GROUP BY rid)"""
+    ]
+    for i, (name, rule) in enumerate(RULES, 1):
+        parts.append(f"r{i} AS (SELECT rid, regexp_replace(seq, {quoted(rule)}, ';', 'g') AS seq, sentence_ids, n, u, CASE WHEN regexp_matches(seq, {quoted(rule)}) AND NOT list_contains(found, {quoted(name)}) THEN list_append(found, {quoted(name)}) ELSE found END AS found FROM r{i - 1})")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_sentences, CAST(coalesce(u, 0) AS BIGINT) AS n_unknown, coalesce(sentence_ids, '') AS sentence_ids, coalesce(array_to_string(found, ','), '') AS licenses
+FROM cut LEFT JOIN r{len(RULES)} USING (rid)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": _OP2}
+    return {"op2_decontamination": _OP2, "op8_warc": _OP8, "op10_license_scan": _op10()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, pii, quality, token_counts
+from . import bpe, decontaminate, licenses, pii, quality, token_counts, warc
 from .common import Scratch, table, tune
 
 #: Where the public vocabulary files are unless the installed package tells.
@@ -77,6 +77,19 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    path = Scratch(spark, "op8").path("archives")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    found = warc.index(warc.read(spark, path))
+    return found.select(F.col("id").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"), "n_unknown", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -84,4 +97,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_pii": op4_pii,
         "op6_quality_rules": op6_quality_rules,
         "op7_bpe": op7_bpe,
+        "op8_warc": op8_warc,
+        "op10_license_scan": op10_license_scan,
     }
