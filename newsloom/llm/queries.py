@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, licenses, pii, quality, token_counts, warc
+from . import bpe, decontaminate, jaccard, licenses, pii, quality, token_counts, warc
 from .common import Scratch, table, tune
 
 #: Where the public vocabulary files are unless the installed package tells.
@@ -66,6 +66,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return jaccard.classes(table(spark, sf_dir, "documents"), Scratch(spark, "op5"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     found = quality.assess(table(spark, sf_dir, "documents"))
@@ -95,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": op1_token_counts,
         "op2_decontamination": op2_decontamination,
         "op4_pii": op4_pii,
+        "op5_jaccard_join": op5_jaccard_join,
         "op6_quality_rules": op6_quality_rules,
         "op7_bpe": op7_bpe,
         "op8_warc": op8_warc,
