@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, licenses, pii, quality, token_counts, warc
+from . import bpe, decontaminate, jaccard, licenses, passages, pii, quality, token_counts, warc
 from .common import Scratch, table, tune
 
 #: Where the public vocabulary files are unless the installed package tells.
@@ -90,6 +90,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
 
 
+def op9_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    found = passages.find(table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
+    return found.select(F.col("id").alias("doc_id"), F.col("start").alias("start_word"), F.col("end").alias("end_word"), F.col("home").alias("other_doc_id"), F.col("home_start").alias("other_start_word"), F.col("home_end").alias("other_end_word"), F.col("matched").alias("n_matched"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"), "n_unknown", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
@@ -104,5 +110,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_rules": op6_quality_rules,
         "op7_bpe": op7_bpe,
         "op8_warc": op8_warc,
+        "op9_fuzzy_passages": op9_fuzzy_passages,
         "op10_license_scan": op10_license_scan,
     }
