@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, licenses, passages, pii, quality, token_counts, warc
+from . import bpe, decontaminate, jaccard, licenses, lm, passages, pii, quality, token_counts, warc
 from .common import Scratch, table, tune
 
 #: Where the public vocabulary files are unless the installed package tells.
@@ -50,6 +50,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return lm.score(table(spark, sf_dir, "documents"), byte_bpe(), Scratch(spark, "op3"))
+
+
 def _of_kind(kind: str):
     return lambda s: s["kind"] == kind
 
@@ -105,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_decontamination": op2_decontamination,
+        "op3_lm_scoring": op3_lm_scoring,
         "op4_pii": op4_pii,
         "op5_jaccard_join": op5_jaccard_join,
         "op6_quality_rules": op6_quality_rules,
