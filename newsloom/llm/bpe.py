@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import per_batch, raw_texts
 
@@ -286,3 +287,23 @@ def digests(docs: DataFrame, bpe: Bpe, *, id_col: str = "doc_id", text_col: str
         return pa.RecordBatch.from_arrays([e.column(0), e.column(1), pa.array(sha), pa.array(back)], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return per_batch(df, step, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+
+
+def tokenize(docs: DataFrame, bpe: Bpe, *, text_col: str = "text") -> DataFrame:
+    """The documents with all their columns, n_tokens and token_ids; the text is decoded from the ids (null stays null).
+
+    Columns of these two names that are there already are replaced.
+    """
+    kept = [f for f in docs.schema.fields if f.name not in ("n_tokens", "token_ids")]
+    names = [f.name for f in kept]
+    docs = docs.select(*(F.col(f"`{n}`") for n in names))
+    encoded = _encoder(docs, bpe, [], text_col)
+
+    def step(b: pa.RecordBatch) -> pa.RecordBatch:
+        n, ids, decoded = encoded(b).columns
+        null = b.column(text_col).is_null().to_pylist()
+        text = pa.array([None if x else t for x, t in zip(null, decoded.to_pylist(), strict=True)], pa.string())
+        return pa.RecordBatch.from_arrays([*(text if c == text_col else b.column(c) for c in names), n, ids], names=[*names, "n_tokens", "token_ids"])
+
+    schema = T.StructType([*kept, T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
+    return per_batch(docs, step, schema)

@@ -5,7 +5,8 @@ subword ids of a public byte-level BPE vocabulary; the model gives the probabili
 
     p(id | context) = softmax over classes (one attention layer and a hidden layer) x share of the id in its class
 
-The corpus gives everything that is counted: the counts of all words of all training documents, from them the counts of
+and a word's probability is the even mixture of its ids' and of its share of the corpus, if it is among the most frequent
+words.  The corpus gives everything that is counted: the counts of all words of all training documents, from them the counts of
 all ids and of which ids stand next to which, the classes (k-means over those neighbourhoods), and the shares.  The
 network is trained by data-parallel SGD: one in ``TRAIN_STRIDE`` stretches of every training document, in ``ROUNDS`` rounds,
 each task starting from the mean of the last round's tasks; so training grows with the corpus, at a fixed rate.
@@ -227,6 +228,8 @@ class Model:
         by = np.argsort(-count, kind="stable")
         self.row = np.zeros(len(count), np.int64)
         self.row[by] = np.where(np.arange(len(by)) < ROWS - 1025, 1 + np.arange(len(by)), ROWS - 1024 + by % 1024)  # row 0 pads
+        self.starts = np.array([t.startswith(b" ") for t in bpe.bytes])  # words have a blank in front and none inside
+        self.starts[self.end] = True
         self.net = Net()
         self.net.w["cb"][:] = np.log(total + many + 0.01) - np.log((total + many + 0.01).sum())
 
@@ -245,20 +248,25 @@ class Model:
         y[: len(ids)], weight[: len(ids)] = ids, 1
         return np.lib.stride_tricks.sliding_window_view(x, 2 * CONTEXT)[::CONTEXT], y.reshape(n, CONTEXT), weight.reshape(n, CONTEXT)
 
-    def score(self, raws: list[bytes], block: int = 256) -> list[float]:
-        """log10 probability of each text."""
+    def score(self, raws: list[bytes], chances: list[np.ndarray], block: int = 256) -> list[float]:
+        """log10 probability of each text, given each word's probability by the counts of frequent words (0 if not among them).
+
+        A word's probability is the even mixture of that and of its ids' by the network, so it adds up to 1 over all words.
+        """
         all_ids = self.ids(raws)
         parts = [self.windows(i) for i in all_ids]
-        n = [len(p[0]) for p in parts]
-        of = np.repeat(np.arange(len(parts)), n)
-        x, y, weight = (np.concatenate([p[j] for p in parts]) for j in range(3))
-        out = np.zeros(len(parts))
+        x, y = (np.concatenate([p[j] for p in parts]) for j in range(2))
+        got = np.empty(y.shape, np.float32)
         for i in range(0, len(x), block):
             s = slice(i, i + block)
             log = self.net.log_classes(x[s])
-            got = np.take_along_axis(log, self.group[y[s]][..., None], -1)[..., 0] / np.float32(np.log(10)) + self.share[y[s]]
-            out += np.bincount(of[s], (got * weight[s]).sum(-1, dtype=np.float64), len(parts))
-        return out.tolist()
+            got[s] = np.take_along_axis(log, self.group[y[s]][..., None], -1)[..., 0] / np.float32(np.log(10)) + self.share[y[s]]
+        got, out, at = got.ravel().astype(np.float64), [], 0
+        for ids, part, chance in zip(all_ids, parts, chances, strict=True):
+            word = np.add.reduceat(got[at : at + len(ids)], np.flatnonzero(self.starts[ids]))
+            at += part[1].size
+            out.append(float(np.logaddexp(word * np.log(10), np.log(np.maximum(chance, 1e-300))).sum() / np.log(10) - len(word) * np.log10(2)))
+        return out
 
 
 def _train_round(docs: DataFrame, model, round_: int, rounds: int) -> np.ndarray | None:
@@ -320,7 +328,7 @@ def score(docs: DataFrame, bpe: Bpe, scratch: Scratch, *, id_col: str = "doc_id"
         get, m = known.value.get, sent.value
         for b in batches:
             raws = raw_texts(b, "text")
-            n, hits, base, rare = [], [], [], []
+            n, hits, base, rare, chances = [], [], [], [], []
             for raw in raws:
                 words = raw.lower().split()
                 words.append(b"")
@@ -328,11 +336,12 @@ def score(docs: DataFrame, bpe: Bpe, scratch: Scratch, *, id_col: str = "doc_id"
                 found = c > 0
                 n.append(len(words))
                 hits.append(int(found.sum()))
+                chances.append(c / max(1, total))
                 base.append(float(np.log10(c[found] + 1).sum()))
                 rare.append([] if whole else list(Counter(words[i] for i in np.flatnonzero(~found).tolist()).items()))
             held = [is_held_out(x) for x in b.column("id").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(held), pa.array(n, pa.int64()), pa.array(hits, pa.int64()), pa.array(base, pa.float64()), pa.array(m.score(raws), pa.float64()), pa.array([[{"word": w, "n": k} for w, k in x] for x in rare], pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))],
+                [b.column("id"), pa.array(held), pa.array(n, pa.int64()), pa.array(hits, pa.int64()), pa.array(base, pa.float64()), pa.array(m.score(raws, chances), pa.float64()), pa.array([[{"word": w, "n": k} for w, k in x] for x in rare], pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))],
                 names=["id", "held_out", "n_tokens", "hits", "base", "score", "rare"],
             )
 
