@@ -6,15 +6,15 @@ Rows travel to Python as Arrow batches; texts are handled as UTF-8 bytes, so tha
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import Scratch, checkpoint_dir  # noqa: F401
+
 #: Rows per Arrow batch: with very long texts a batch must still fit a Python worker.
 BATCH_ROWS = 1000
 
@@ -43,54 +43,6 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return df.mapInArrow(run, schema)
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a folder of the session's own only where none is set."""
-    told = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if told:
-        return told.rstrip("/")
-    got = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if got.isDefined():
-        return str(got.get()).rstrip("/")
-    import tempfile
-
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="newsloom-"))
-    return str(spark.sparkContext._jsc.sc().getCheckpointDir().get()).rstrip("/")
-
-
-class Scratch:
-    """Tables written to the shared folder: lineage ends there, and a lost executor costs one re-read."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root, self.n = spark, f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
-
-    def path(self, name: str) -> str:
-        self.n += 1
-        return f"{self.root}/{self.n:03d}-{name}"
-
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        path = self.path(name)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, *frames_or_names: str) -> None:
-        """Deletes what keep() wrote under these names, once nothing reads it."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = root.getFileSystem(conf)
-        if fs.exists(root):
-            for status in fs.listStatus(root):
-                if status.getPath().getName().split("-", 1)[-1] in frames_or_names:
-                    fs.delete(status.getPath(), True)
-
-
-def broadcast(sc: SparkContext, value: object):
-    return sc.broadcast(value)
-
-
-def ranges(df: DataFrame) -> int:
-    return max(1, df.rdd.getNumPartitions())
-
-
 def fold_bytes(df: DataFrame, column: str, dtype: str, merge: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray | None:
     """Merges equal-length binary arrays, one a task, in two levels, so that no task and not the driver gets one from each task."""
     schema = f"{column} binary"

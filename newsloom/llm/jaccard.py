@@ -2,8 +2,9 @@
 
 A document's set is its distinct 5-word shingles.  Equal sets are one from the start.  Shingles are ordered rare first, by
 counts hashed into ``SLOTS`` slots (any common order is exact; the counts only make prefixes rare), so two sets that
-reach the threshold share a shingle in their prefixes.  Sets that share one are candidates if lengths and the positions
-of the shared shingle allow it; a candidate pair is verified once, with a suffix filter before the exact intersection.
+reach the threshold share a shingle in their prefixes.  Sets that share one are candidates if their lengths, the positions of
+the shared shingles and the number of them allow it; a candidate pair is verified once, with a suffix filter before the
+exact intersection.
 
 What is asked for is classes, so a pair within a class already found needs no verification.  The join goes in rounds: in
 the first rounds each prefix shingle offers its sets one centre each, which is linear in the prefixes; the last round
@@ -25,13 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.components import contract
 from .common import BATCH_ROWS, Scratch, fold_bytes, raw_texts
-from .components import contract
 from .hashes import spread, window_hashes, word_codes
 
 WORDS, PERCENT = 5, 75
 #: Slots of the hashed shingle counts, and bits of the filter of sets to verify: bounds of what is broadcast.
-SLOTS, FILTER_BITS = 1 << 17, 1 << 23
+SLOTS, FILTER_BITS = 1 << 20, 1 << 23
 #: Rounds with one centre a shingle, before the exhaustive one.
 CENTRE_ROUNDS = 2
 #: Sets that a task remembers to pass over copies; others are told apart after the shuffle.
@@ -149,20 +150,29 @@ def _offers(round_: int | None, percent: int):
         rank = spread(kid.view(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15 * ((round_ or 0) + 1) & (2**64 - 1)))
         if round_ == 0:  # the text that was copied most is most likely what the others are variants of
             rank = _ranks(copies, rank)
-        by = np.lexsort((rank, gram))
+        by = np.lexsort((rank, gram)) if round_ is not None else np.lexsort((comp, gram))
         gram, kid, at, comp = gram[by], kid[by], at[by], comp[by]
         first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
         size = np.diff(np.concatenate((first, [len(gram)])))
         if round_ is not None:
-            head = np.repeat(first, size)
-            yield from _pairs(kid, at, comp, np.arange(len(gram)), head, percent)
+            yield from _pairs(kid, at, comp, np.arange(len(gram)), np.repeat(first, size), percent)
             return
-        for f, n in zip(first.tolist(), size.tolist(), strict=True):
-            c = comp[f : f + n]
-            if (c == c[0]).all():
-                continue
-            for i in range(f, f + n - 1):
-                yield from _pairs(kid, at, comp, np.full(f + n - i - 1, i), np.arange(i + 1, f + n), percent)
+        # all pairs of different classes: each row with the rows of its gram behind its class
+        border = np.concatenate(([True], (gram[1:] != gram[:-1]) | (comp[1:] != comp[:-1]), [True]))
+        ends = np.flatnonzero(border)
+        behind = ends[np.searchsorted(ends, np.arange(len(gram)), side="right")]
+        many = np.repeat(first + size, size) - behind
+        rows = np.flatnonzero(many)
+        upto = np.cumsum(many[rows])
+        at_once = 2_000_000
+        i = 0
+        while i < len(rows):  # blocks of pairs; a row's own pairs stay together
+            j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + at_once, side="right")))
+            n = many[rows[i:j]]
+            left = np.repeat(rows[i:j], n)
+            right = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(behind[rows[i:j]], n)
+            yield from _pairs(kid, at, comp, left, right, percent)
+            i = j
 
     return run
 
@@ -175,11 +185,15 @@ def _ranks(copies: np.ndarray, tie: np.ndarray) -> np.ndarray:
 
 
 def _pairs(kid, at, comp, i, j, percent) -> Iterable[pa.RecordBatch]:
+    """The pairs that may link, with the most that they can share outside both prefixes, and how much they must share."""
     ok = (comp[i] != comp[j]) & _may_link(at[i], at[j], percent)
     if ok.any():
-        x, y = kid[i[ok]], kid[j[ok]]
-        pairs = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y)), 1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["u", "v"])
+        i, j = i[ok], j[ok]
+        x, y, nx, ny = kid[i], kid[j], at[i] >> 32, at[j] >> 32
+        rest = np.maximum(-(-percent * nx // 100), -(-percent * ny // 100)) - 1
+        need = -(-percent * (nx + ny) // (100 + percent))
+        pairs, shared = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y), need - rest), 1), axis=0, return_counts=True)
+        yield pa.RecordBatch.from_arrays([*(pa.array(pairs[:, c].copy()) for c in range(3)), pa.array(shared.astype(np.int64))], names=["u", "v", "least", "shared"])
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -192,16 +206,20 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
 
 
 def _sets_of(docs: DataFrame, wanted, words: int) -> DataFrame:
-    """Shingles of the sets that the filter lets through."""
+    """Shingles of the documents whose id the filter lets through; docs: id_hash, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         bits, seen = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).view(bool), set()
         for b in batches:
-            rows = [(k, g.tobytes()) for _, k, g in _fresh(raw_texts(b, "text"), seen, words) if bits[int(spread(np.array([k], np.int64).view(np.uint64))[0]) & (FILTER_BITS - 1)]]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["kid", "grams"])
+            ids = b.column("id_hash").to_numpy(zero_copy_only=False).view(np.uint64)
+            keep = bits[(spread(ids) & np.uint64(FILTER_BITS - 1)).astype(np.int64)]
+            if keep.any():
+                raws = raw_texts(b.filter(pa.array(keep)), "text")
+                rows = [(k, g.tobytes()) for _, k, g in _fresh(raws, seen, words)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["kid", "grams"])
 
-    return docs.select("text").mapInArrow(run, "kid long, grams binary").dropDuplicates(["kid"])
+    return docs.select("id_hash", "text").mapInArrow(run, "kid long, grams binary").dropDuplicates(["kid"])
 
 
 def overlap(a: np.ndarray, b: np.ndarray, need: int) -> int:
@@ -243,7 +261,7 @@ def classes(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_c
     if counts is not None:
         order = spark.sparkContext.broadcast(counts)
         with batches_of(spark, _GRAM_ROWS):
-            texts = df.select("text")
+            texts = df.select(F.xxhash64("id").alias("id_hash"), "text")
             prefixes = _prefixes(texts, order, words, percent)
             shared = scratch.keep(prefixes.repartition("gram").mapInArrow(_shared, "gram long, kid long, at long"), "shared")
             labels = _link(texts, shared, sets, scratch, words, percent)
@@ -267,7 +285,9 @@ def _link(texts: DataFrame, shared: DataFrame, sets: DataFrame, scratch: Scratch
             state = with_copies.withColumn("comp", F.col("kid"))
         else:
             state = with_copies.join(labels, with_copies["kid"] == labels["node"], "left").withColumn("comp", F.coalesce("comp", "kid"))
-        offered = state.select("gram", "kid", "at", "comp", "copies").repartition("gram").mapInArrow(_offers(round_, percent), "u long, v long").distinct()
+        offers = state.select("gram", "kid", "at", "comp", "copies").repartition("gram").mapInArrow(_offers(round_, percent), "u long, v long, least long, shared long")
+        # all that they share is in both prefixes, or behind the prefix that ends first; centres see only some of it
+        offered = offers.groupBy("u", "v").agg(F.sum("shared").alias("shared"), F.first("least").alias("least")).where("shared >= least").select("u", "v")
         if tried is not None:
             offered = offered.join(tried, ["u", "v"], "left_anti")
         pairs = scratch.keep(offered, "pairs")
@@ -275,9 +295,11 @@ def _link(texts: DataFrame, shared: DataFrame, sets: DataFrame, scratch: Scratch
             if round_ is None:
                 break
             continue
-        wanted = spark.sparkContext.broadcast(fold_bytes(pairs.mapInArrow(_bits, "bits binary"), "bits", "u1", np.bitwise_or).tobytes())
+        kids = pairs.select(F.explode(F.array("u", "v")).alias("kid")).distinct()
+        firsts = sets.join(kids, "kid", "left_semi").select(F.xxhash64("first").alias("id_hash"))
+        wanted = spark.sparkContext.broadcast(fold_bytes(firsts.mapInArrow(_bits, "bits binary"), "bits", "u1", np.bitwise_or).tobytes())
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-        found = scratch.keep(_sets_of(texts, wanted, words), "found")
+        found = scratch.keep(_sets_of(texts, wanted, words).join(kids, "kid", "left_semi"), "found")
         one = pairs.join(found.select(F.col("kid").alias("u"), F.col("grams").alias("gu")), "u")
         both = one.join(found.select(F.col("kid").alias("v"), F.col("grams").alias("gv")), "v")
         verified = scratch.keep(both.select("u", "v", "gu", "gv").mapInArrow(_verify(percent), "u long, v long, linked boolean"), "verified")
