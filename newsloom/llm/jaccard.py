@@ -304,6 +304,7 @@ def _link(texts: DataFrame, shared: DataFrame, sets: DataFrame, scratch: Scratch
         both = one.join(found.select(F.col("kid").alias("v"), F.col("grams").alias("gv")), "v")
         verified = scratch.keep(both.select("u", "v", "gu", "gv").mapInArrow(_verify(percent), "u long, v long, linked boolean"), "verified")
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_GRAM_ROWS))
+        scratch.drop("found", "pairs")
         new, seen = verified.where("linked").select("u", "v"), verified.select("u", "v")
         links, tried = (new, seen) if links is None else (links.union(new), tried.union(seen))
         if not new.isEmpty():
