@@ -89,7 +89,7 @@ def parse_set_cell(c: Column | str) -> Column:
 
 def keyword_list(c: Column | str, most: int = 12) -> Column:
     """Distinct keywords of a ``|`` list in their order, the first so many."""
-    parts = F.filter(F.transform(F.split(F.coalesce(_c(c), F.lit("")), r"\|"), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(F.coalesce(_c(c), F.lit("")), r"\|"), lambda x: F.trim(x)), lambda x: x != "")
     return F.slice(F.array_distinct(parts), 1, most)
 
 
@@ -200,25 +200,27 @@ def bad_value(c: Column | str, allowed: tuple[str, ...]) -> Column:
     return _c(c).isNotNull() & ~_c(c).isin(*allowed)
 
 
-@F.pandas_udf("array<struct<name:string,title:string,evidence:string>>")
-def persons_by_title(texts: pd.Series) -> pd.Series:
+def _persons(text: str | None) -> list[dict]:
+    found: dict[tuple, dict] = {}
+    hits = 0
+    for m in re.finditer(TITLES, text or ""):
+        near = text[max(0, m.start() - 6) : m.end() + 10]
+        name = re.search(r"([\u4e00-\u9fff]{2,4})" + re.escape(m[0]), near)
+        if name:
+            hits += 1
+            found.setdefault((name[1], m[0]), {"name": name[1], "title": m[0], "evidence": near})
+            if hits == 10:
+                break
+    return list(found.values())
+
+
+def persons_by_title(c: Column | str) -> Column:
     """Names of two to four Chinese characters right before a title; distinct, of the first ten hits."""
-    title = re.compile(TITLES)
-
-    def of(text: str | None) -> list[dict]:
-        found: dict[tuple, dict] = {}
-        hits = 0
-        for m in title.finditer(text or ""):
-            near = text[max(0, m.start() - 6) : m.end() + 10]
-            name = re.search(r"([一-鿿]{2,4})" + re.escape(m[0]), near)
-            if name:
-                hits += 1
-                found.setdefault((name[1], m[0]), {"name": name[1], "title": m[0], "evidence": near})
-                if hits == 10:
-                    break
-        return list(found.values())
-
-    return texts.map(of)
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(_persons)
+
+    return F.pandas_udf(run, "array<struct<name:string,title:string,evidence:string>>")(_c(c))
 
 
 # ---- prompts, in our own words ----

@@ -87,5 +87,5 @@ def flatten_pairs(news: DataFrame, order: str = "item_no") -> DataFrame:
 
 def explode_ids(df: DataFrame, column: str, out: str, skip_nan: bool = False) -> DataFrame:
     """A row per id of a comma list; blanks, and 'nan' if asked, go."""
-    ids = F.filter(F.transform(F.split(F.coalesce(F.col(column), F.lit("")), ","), F.trim), lambda x: (x != "") & ((F.lower(x) != "nan") if skip_nan else F.lit(True)))
+    ids = F.filter(F.transform(F.split(F.coalesce(F.col(column), F.lit("")), ","), lambda x: F.trim(x)), lambda x: (x != "") & ((F.lower(x) != "nan") if skip_nan else F.lit(True)))
     return df.select("*", F.posexplode(ids).alias("pos", out))

@@ -98,7 +98,7 @@ def communities(edges: DataFrame, weight: str = "npmi") -> DataFrame:
         found = greedy_communities(list(zip(f["a"], f["b"], f["w"].astype(float), strict=True)))
         return pd.DataFrame({"item": list(found), "community": list(found.values())}, columns=["item", "community"])
 
-    one = edges.select("a", "b", F.col(weight).alias("w")).where("w > 0").groupBy(F.lit(0)).applyInPandas(run, "item string, community int")
+    one = edges.select("a", "b", F.col(weight).alias("w")).where("w > 0").withColumn("all", F.lit(0)).groupBy("all").applyInPandas(run, "item string, community int")
     return one.withColumn("community_size", F.count("*").over(Window.partitionBy("community")))
 
 

@@ -111,3 +111,16 @@ def distinct_pairs(df: DataFrame, id_col: str, summary: str, order: list[Column]
     """The first of equal (id, stripped summary); empty ones go."""
     s = df.withColumn(summary, t.non_empty(summary)).where(F.col(summary).isNotNull() & F.col(id_col).isNotNull())
     return first_by(s, [F.col(id_col).cast("string"), F.col(summary)], order)
+
+
+def numbered(df: DataFrame, order: list[str], out: str, scratch) -> DataFrame:
+    """Adds 1, 2, ... in the given order without sorting everything in one task.
+
+    Rows are dealt out by range and written with the number of their range; numbers are ranks within a range plus the sizes
+    of the ranges before it, of which there is one row each.
+    """
+    ranged = scratch.keep(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranged")
+    inside = ranged.withColumn("__k", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
+    sizes = ranged.groupBy("__part").agg(F.count("*").alias("__c"))
+    before = sizes.withColumn("__off", F.coalesce(F.sum("__c").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__c")
+    return inside.join(F.broadcast(before), "__part").withColumn(out, (F.col("__k") + F.col("__off")).cast("long")).drop("__part", "__k", "__off")
