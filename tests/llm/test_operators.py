@@ -1,0 +1,347 @@
+"""The training-data operators against brute force, on small and awkward tables."""
+
+import base64
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from newsloom.llm import bpe, decontaminate, jaccard, licenses, lm, passages, pii, quality, token_counts, warc
+from newsloom.llm.common import Scratch
+from newsloom.llm.queries import byte_bpe
+
+WORDS = "the a of river bank quick brown fox jumps over lazy dog near and then some other word éclair straße 中文 don't x1".split()
+SCHEMA = "doc_id long, text string, n_words string, id string, hit string, kid int"
+
+
+def awkward(rng, n=60):
+    """Nulls, empty and long texts, ties, repeated rows, and columns whose names clash with the operators' own."""
+    texts = [None, "", "   \n\t ", "one", "word " * 3000, "x" * 5000, " ".join(rng.choice(WORDS) for _ in range(4000))]
+    texts += [" ".join(rng.choice(WORDS) for _ in range(rng.randrange(1, 80))) for _ in range(n)]
+    texts += texts[-5:]
+    rows = [(i, t, "c", "c", "c", i) for i, t in enumerate(texts)]
+    return [*rows, rows[10], (None, "a row without an id", None, None, None, None)]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return awkward(random.Random(5))
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_token_counts(spark, docs, rows):
+    vocabulary = [b" ", b" the", b"the", b"r", b"ri", b"iver", b"v", b"e", b"i", b"x", b"xx", b"a", b"ab", b"abcd", b"b", b"c"]
+
+    def greedy(word):
+        n = at = 0
+        while at < len(word):
+            size = max((len(t) for t in vocabulary if word.startswith(t, at)), default=0)
+            if not size:
+                return None
+            n, at = n + 1, at + size
+        return n
+
+    automaton = token_counts.LongestMatch(vocabulary)
+    rng = random.Random(1)
+    for _ in range(3000):
+        w = bytes(rng.choice(b"abcdrivexq ") for _ in range(rng.randrange(12)))
+        want = greedy(w)
+        assert automaton.count(w) == (-1 if want is None else want), w
+    got = sorted((tuple(r) for r in token_counts.count_tokens(docs, vocabulary).collect()), key=repr)
+    want = []
+    for r in rows:
+        each = [greedy(b" " + w) for w in (r[1] or "").encode().split()]
+        want.append((r[0], len(each), sum(1 if x is None else x for x in each), each.count(None)))
+    assert got == sorted(want, key=repr)
+    with pytest.raises(ValueError, match="empty"):
+        token_counts.LongestMatch([])
+    assert token_counts.count_tokens(docs.where("false"), vocabulary).count() == 0
+
+
+def _decontaminated(texts, items, n=10):
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    low = lambda s: word.findall((s or "").translate({c: c + 32 for c in range(65, 91)}))
+    windows = {}
+    for item, s in items:
+        w = low(s)
+        size = min(n, len(w))
+        for i in range(len(w) - size + 1 if size else 0):
+            windows.setdefault(tuple(w[i : i + size]), set()).add(item)
+    out = []
+    for s in texts:
+        w, hit, found = low(s), set(), set()
+        for size in {len(x) for x in windows}:
+            for i in range(len(w) - size + 1):
+                if (items_ := windows.get(tuple(w[i : i + size]))) is not None:
+                    hit.update(range(i, i + size))
+                    found |= items_
+        out.append((len(w), len(hit), sorted(str(x) for x in found if x is not None)))
+    return out
+
+
+@pytest.mark.parametrize("block", [10**6, 60])
+def test_decontamination(spark, docs, rows, block):
+    rng = random.Random(2)
+    items = [(i, " ".join(rng.choice(WORDS) for _ in range(rng.choice((1, 2, 3, 12))))) for i in range(12)] + [(3, "lazy dog near"), (None, "brown fox"), (5, None), (6, "--"), (7, rows[6][1][100:300])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"])) for r in decontaminate.scan(docs, bench, block_chars=block).collect())
+    assert got == Counter((r[0], a, b, tuple(c)) for r, (a, b, c) in zip(rows, _decontaminated([r[1] for r in rows], items), strict=True))
+    kept = decontaminate.remove(docs, bench, block_chars=block)
+    assert kept.columns == docs.columns
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r[0] for r, x in zip(rows, _decontaminated([r[1] for r in rows], items), strict=True) if not x[1])
+    cut = {r["doc_id"]: r["text"] for r in decontaminate.remove(docs, spark.createDataFrame([(1, "quick brown")], "item_id long, text string"), mode="spans").collect()}
+    assert cut[0] is None and not any(re.search(r"\bquick brown\b", t or "") for t in cut.values())
+
+
+def test_decontamination_spans(spark):
+    d = spark.createDataFrame([(1, "Éa, Quick-brown! fox")], "doc_id long, text string")
+    r = decontaminate.scan(d, spark.createDataFrame([(9, "quick brown")], "item_id long, text string")).first()
+    assert [("Éa, Quick-brown! fox")[s["start"] : s["end"]] for s in r["spans"]] == ["Quick-brown"]
+
+
+def test_decontamination_without_benchmark(spark, docs):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontaminate.scan(docs, none).where("n_hit > 0").count() == 0
+
+
+def test_lm(spark, docs, rows, monkeypatch):
+    got = lm.score(docs, byte_bpe(), Scratch(spark, "t"), frequent=5).collect()
+    low = [(r[1] or "").encode().lower().split() + [b""] for r in rows]
+    held = [zlib.crc32(b"" if r[0] is None else str(r[0]).encode()) % 7 == 2 for r in rows]
+    c = Counter(w for ws, h in zip(low, held, strict=True) if not h for w in ws)
+    n, v = sum(c.values()), len(c)
+    want = sorted((repr(r[0]), h, len(ws), sum(w in c for w in ws), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws), 6)) for r, h, ws in zip(rows, held, low, strict=True))
+    assert sorted((repr(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == want
+    assert all(r["score"] < 0 for r in got)
+    empty = lm.score(docs.where("false"), byte_bpe(), Scratch(spark, "t"))
+    assert empty.count() == 0
+
+
+def test_lm_gradients():
+    rng = np.random.default_rng(0)
+    net = lm.Net(np.random.default_rng(1).standard_normal(lm.Net.size) * 0.2)
+    net = lm.Net(net.flat)
+    x, y = rng.integers(0, 50, (3, 2 * lm.CONTEXT)), rng.integers(0, lm.CLASSES, (3, lm.CONTEXT))
+    weight = np.ones((3, lm.CONTEXT), np.float32)
+
+    def loss():
+        return -np.take_along_axis(net.log_classes(x), y[..., None], -1).mean(dtype=np.float64)
+
+    g = net.gradients(x, y, weight)
+    for name in ("q", "k", "v", "o", "a", "c", "p", "ab", "cb"):
+        at = tuple(rng.integers(0, s) for s in net.shapes[name])
+        old, step = net.w[name][at], 1e-2
+        net.w[name][at] = old + step
+        up = loss()
+        net.w[name][at] = old - step
+        down = loss()
+        net.w[name][at] = old
+        assert (up - down) / (2 * step) == pytest.approx(g[name][at], rel=0.08, abs=2e-4), name
+
+
+def test_lm_is_causal():
+    net = lm.Net()
+    x = np.arange(1, 2 * lm.CONTEXT + 1)[None, :]
+    other = x.copy()
+    other[0, -1] = 77
+    a, b = net.log_classes(x), net.log_classes(other)
+    assert np.allclose(a[0, :-1], b[0, :-1]) and not np.allclose(a[0, -1], b[0, -1])
+    assert np.allclose(np.exp(a).sum(-1), 1, atol=1e-4)
+
+
+def _pii_base(t):
+    kinds = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+    out = []
+    for kind, p in kinds.items():
+        for m in re.finditer(p, t or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            luhn = sum(x if i % 2 == 0 else 2 * x - 9 * (x > 4) for i, x in enumerate(map(int, reversed(d)))) % 10 == 0
+            if {"email": True, "ip": all(int(x) <= 255 for x in m[0].split(".")) if kind == "ip" else True, "card": 16 <= len(d) <= 19 and luhn, "phone": 8 <= len(d) <= 15}[kind]:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def test_pii(spark):
+    rng = random.Random(3)
+    pieces = ["a", "b@", "@c", ".", ".com", "_", "-", "1", "12", "255", "256", "1.2.3.4", "+1", " ", "(", ")", "4111 1111 1111 1111", "4111111111111111", "+49 30 123456", " at ", "dot", "é", "\n", "x.y@z.w", "٣", "日"]
+    texts = [None, "", "a" * 20000, "1" * 20000, "1." * 3000, "a@b" + ".c" * 3000, "+1" + " " * 9000, "a@" * 3000] + ["".join(rng.choice(pieces) for _ in range(rng.randrange(40))) for _ in range(400)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.detect(d, Scratch(spark, "t")).collect():
+        assert [(s["kind"], s["start"], s["end"]) for s in r["spans"] if s["base"]] == _pii_base(texts[r["doc_id"]])
+
+
+def test_pii_masks(spark):
+    text = "mail jo@example.org now, or write to bob [at] example [dot] com; card 4111 1111 1111 1111."
+    d = spark.createDataFrame([(1, text, len(text), "x"), (2, "nothing 12 here", 15, "y"), (3, None, None, "z")], "doc_id long, text string, n_chars long, found string")
+    got = {r["doc_id"]: r for r in pii.mask(d).collect()}
+    assert got[1]["text"] == "mail [EMAIL] now, or write to [EMAIL]; card [CARD]." and got[1]["n_chars"] == len(got[1]["text"])
+    assert tuple(got[2]) == (2, "nothing 12 here", 15, "y") and got[3]["text"] is None
+
+
+def _classes(texts, n=5):
+    sets = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} - {()})
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            i = len(sets[a] & sets[b])
+            if i and 100 * i >= 75 * (len(sets[a]) + len(sets[b]) - i):
+                x, y = root[a], root[b]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    return sets, root
+
+
+def test_jaccard(spark):
+    rng = random.Random(4)
+    texts = [None, "", "  ", "one two", "One TWO", "x " * 500]
+    for _ in range(12):
+        base = [rng.choice(WORDS) + str(rng.randrange(40)) for _ in range(rng.randrange(5, 150))]
+        for _ in range(rng.randrange(1, 12)):
+            copy = list(base)
+            for _ in range(rng.randrange(0, 5)):
+                copy[rng.randrange(len(copy))] = rng.choice(WORDS)
+            texts.append(" ".join(copy))
+    texts += texts[6:9]
+    d = spark.createDataFrame([(i, t, 1, "c") for i, t in enumerate(texts)], "doc_id long, text string, kid int, n string")
+    sets, root = _classes(texts)
+    for r in jaccard.classes(d, Scratch(spark, "t")).collect():
+        assert (r["n_shingles"], r["component_id"]) == (len(sets[r["doc_id"]]), root[r["doc_id"]])
+    kept = jaccard.deduplicate(d, Scratch(spark, "t"))
+    assert kept.columns == d.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root))
+
+
+def test_jaccard_without_rows_ids_or_partners(spark):
+    d = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (4, "a b c d e f"), (5, "g h i j k l"), (5, "g h i j k l")], "doc_id long, text string")
+    assert sorted((repr(r["doc_id"]), r["component_id"]) for r in jaccard.classes(d, Scratch(spark, "t")).collect()) == [("4", 4), ("5", 5), ("5", 5), ("None", 4), ("None", 4)]
+    assert jaccard.classes(d.where("false"), Scratch(spark, "t")).count() == 0
+    assert sorted(repr(r["doc_id"]) for r in jaccard.deduplicate(d, Scratch(spark, "t")).collect()) == ["4", "5", "None", "None"]
+
+
+def test_quality(spark, docs, rows):
+    for r in quality.assess(docs).where("doc_id is not null").collect():
+        t = next(x[1] for x in rows if x[0] == r["doc_id"]) or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        windows = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+        again = {i + j for i in range(len(w) - 7) if windows[tuple(w[i : i + 8])] > 1 for j in range(8)}
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        want = (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(again))
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == want
+        assert r["base_failed"] == (len(w) < 20 or 100 * len(again) > 30 * len(w)) and not (r["base_failed"] and r["kept"])
+    cleaned = quality.clean(docs)
+    assert cleaned.columns == docs.columns and cleaned.where("text is null").count() == 0
+
+
+def test_quality_verdicts(spark):
+    rng = random.Random(9)
+    clean = "\n".join(" ".join(rng.choice(WORDS) + str(rng.randrange(99)) for _ in range(12)) + "." for _ in range(6))
+    menu = "\n".join(f"Home{i} | About{i} | News{i} | x{i}" for i in range(8))
+    symbols = " ".join(f"w{i}%%%" for i in range(60))
+    dup = "\n".join(["a line of seven words goes here again."] * 3 + [clean])
+    got = [quality.judge(t.encode())["kept"] for t in (clean, menu, symbols, dup)]
+    assert got == [True, False, False, True]
+    assert quality.judge(dup.encode())["clean"].decode().count("seven words") == 1
+    assert quality.repeated_words([b"a", b"b"] * 6, 3) == quality._repeated_plain([b"a", b"b"] * 6, 3) == 12
+
+
+def test_bpe(spark, docs, rows):
+    from tokenizers import Tokenizer
+
+    from newsloom.llm.queries import vocabulary_path
+
+    lib = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
+    coder = byte_bpe()
+    rng = random.Random(1)
+    bits = ["a", "b", " ", "  ", "\n", "\t", "'s", "é", "日本", "١٢", "1", "　", "\xa0", "😀", "<|endoftext|>", "\x00", "\x85", "\x1c", "the", "ing", "!!", "_", "ſ"]
+    odd = ["".join(rng.choice(bits) for _ in range(rng.randrange(50))) for _ in range(1500)] + ["a" * 3000, " " * 2000, "=-" * 1500, ""]
+    want = [e.ids for e in lib.encode_batch(odd, add_special_tokens=False)]
+    got = [np.frombuffer(x, "<u4").tolist() for x in coder.encode_batch([t.encode() for t in odd])]
+    assert got == want
+    assert [coder.decode(i) for i in got] == [lib.decode(i, skip_special_tokens=False) for i in got]
+    for word in (b"onerblethwh", b" thanstnd", b"z" * 100):
+        assert coder.exact(word) == [i for i in lib.encode(word.decode(), add_special_tokens=False).ids]
+    for r in bpe.encode(docs, coder).where("doc_id is not null").collect():
+        t = next(x[1] for x in rows if x[0] == r["doc_id"]) or ""
+        assert r["ids"] == lib.encode(t, add_special_tokens=False).ids and r["decoded"] == t and r["n_tokens"] == len(r["ids"])
+    assert bpe.tokenize(docs.withColumn("n_tokens", F.lit("x")), coder).where("text is null and n_tokens = 0").count() == 1
+    with pytest.raises(ValueError, match="byte-level"):
+        bpe.Bpe('{"model": {"type": "WordPiece"}}')
+
+
+def test_warc(spark, tmp_path):
+    html = ["<p>x</p>", "", None, "<p>x</p>", "é\r\n\r\nWARC/1.0\r\n", "long " * 9000, "", "only"]
+    rows = [(i if i != 6 else None, f"http://WWW.b{i % 2}.example.com:80/p?q={i}#f" if i != 4 else None, h, "extra") for i, h in enumerate(html)] + [(0, "http://a.example.com/\n", "<p>x</p>", "extra")]
+    path = str(tmp_path / "w")
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string, size string"), path)
+    found = warc.index(warc.read(spark, path)).withColumn("part", F.spark_partition_id()).collect()
+    got = Counter((r["id"], r["size"], r["digest"], r["type"], r["refers_to"]) for r in found)
+    want = Counter()
+    for i, _, h, _ in rows:
+        data = (h or "").encode()
+        same = [x[0] for x in rows if (x[2] or "") == (h or "") and x[0] is not None]
+        first = min(same) if len([x for x in rows if (x[2] or "") == (h or "")]) > 1 else None
+        revisit = first is not None and i != first
+        want[i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "revisit" if revisit else "response", first if revisit else None] += 1
+    assert got == want
+    order = [(r["url_key"], r["captured"], r["id"] is None, r["id"] or 0) for r in sorted(found, key=lambda r: r["part"])]
+    by_part = sorted(order)
+    assert order == by_part
+    assert warc.url_key("http://www.Example.com:80/A?b#c") == "com,example)/A?b" and warc.url_key(None) == ""
+
+
+def test_warc_min_bytes_and_broken_archives(spark, tmp_path):
+    d = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab")], "page_id long, url string, html string")
+    warc.write(d, str(tmp_path / "w"), min_bytes=3)
+    assert {r["type"] for r in warc.read(spark, str(tmp_path / "w")).collect()} == {"response"}
+    with pytest.raises(ValueError):
+        list(warc.records(b"WARC/1.0\r\nContent-Length: 3\r\n\r\nabcdefgh"))
+    assert list(warc.records(b"")) == []
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 3, 7])
+def test_loser_tree(k):
+    rng = random.Random(k)
+    runs = [sorted(rng.randrange(50) for _ in range(rng.randrange(20))) for _ in range(k)]
+    assert list(warc.LoserTree(runs, lambda x: x)) == sorted(x for r in runs for x in r)
+
+
+def test_passages(spark):
+    rng = random.Random(6)
+    noise = lambda n: [f"n{rng.randrange(10**6)}" for _ in range(n)]
+    shared = [f"s{i}" for i in range(70)]
+    fuzzy = [w if i % 12 else "changed" for i, w in enumerate(shared)]
+    texts = [noise(30) + shared + noise(20), noise(200) + shared, shared + noise(5), noise(40) + fuzzy + noise(10), noise(300), noise(20) + shared[:30] + noise(20), [], ["w"] * 300]
+    d = spark.createDataFrame([(i, " ".join(t), 0) for i, t in enumerate(texts)] + [(None, " ".join(shared), 0), (9, None, 0)], "doc_id long, text string, pos int")
+    found = passages.find(d, Scratch(spark, "t")).collect()
+    assert {r["id"] for r in found} == {0, 1, 2, 3}
+    exact = [r for r in found if r["id"] in (1, 2) and r["home"] == 0]
+    assert exact and all(r["end"] - r["start"] == 70 == r["matched"] and texts[r["id"]][r["start"] : r["end"]] == shared for r in exact)
+    assert passages.find(d.where("false"), Scratch(spark, "t")).count() == 0
+
+
+def test_fenwick_chains():
+    tree = passages.Fenwick(5)
+    for i, v in ((3, 2.0), (1, 5.0), (4, 9.0)):
+        tree.put(i, v, i)
+    assert tree.max_below(1) == (float("-inf"), -1) and tree.max_below(4) == (5.0, 1) and tree.max_below(5) == (9.0, 4)
+    assert passages.chains([0, 5, 10, 11], [100, 105, 110, 3])[0] == [0, 1, 2]
+
+
+def test_licenses(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND."
+    texts = {0: (None, []), 1: ("", []), 2: ("plain text.", []), 3: ("Licensed under the Apache License, Version 2.0.", ["Apache-2.0"]), 4: ("x\n" + mit, ["MIT"]), 5: ("Released under the MIT License. Licensed under CC BY-NC 4.0.", ["MIT", "CC-BY-NC"]), 6: ("This work is licensed under the GNU General Public License, version 3.\nAll rights reserved.", ["GPL-3.0", "All-Rights-Reserved"]), 7: ("word " * 20000 + "\nReleased under the MIT License.", ["MIT"])}
+    d = spark.createDataFrame([(i, t, "c") for i, (t, _) in texts.items()], "doc_id long, text string, all_ids string")
+    assert {r["doc_id"]: r["licenses"] for r in licenses.scan(d).collect()} == {i: x for i, (_, x) in texts.items()}
+    assert licenses.scan(spark.createDataFrame([(1, "Some licence of ours applies.")], "doc_id long, text string")).first()["n_unknown"] == 1
