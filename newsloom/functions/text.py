@@ -104,7 +104,7 @@ def repair_json(c: Column | str, objects_only: bool = False) -> Column:
     s = safe_str(c)
     fence = F.regexp_extract(s, r"(?s)```(?:json)?\s*(.*?)```", 1)
     braces = F.regexp_extract(s, r"(?s)(\{.*\})", 1)
-    good = [F.when(F.try_parse_json(x).isNotNull() & (x.startswith("{") if objects_only else F.lit(True)) & (x != ""), x) for x in (s, F.trim(fence), braces)]
+    good = [F.when(F.try_parse_json(x).isNotNull() & (x.startswith("{") if objects_only else F.lit(True)) & (x != ""), x) for x in (s, safe_str(fence), braces)]
     return F.coalesce(*good)
 
 
@@ -118,7 +118,7 @@ REPORT_ANSWER_PATHS = ("$.answer", "$.data.answer", "$.message.content", "$.data
 
 def week_bucket(c: Column | str) -> Column:
     """ISO year and week, as 2025-W01; UNKNOWN if the time is null."""
-    return F.coalesce(F.format_string("%d-W%02d", F.extract(F.lit("YEAROFWEEK"), _c(c)), F.weekofyear(_c(c))), F.lit("UNKNOWN"))
+    return F.when(_c(c).isNull(), "UNKNOWN").otherwise(F.format_string("%d-W%02d", F.extract(F.lit("YEAROFWEEK"), _c(c)), F.weekofyear(_c(c))))
 
 
 def month_bucket(c: Column | str) -> Column:

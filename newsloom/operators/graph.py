@@ -117,4 +117,4 @@ def upsert(old: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
 def relate(edges: DataFrame, left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
     """Distinct edges whose both ends are there."""
     a = edges.join(left.select(F.col(left_key)).distinct(), left_key, "left_semi")
-    return a.join(right.select(F.col(right_key)).distinct(), right_key, "left_semi").distinct()
+    return a.join(right.select(F.col(right_key)).distinct(), right_key, "left_semi").select(*edges.columns).distinct()

@@ -17,7 +17,7 @@ def csv(df: DataFrame, path: str, *, bom: bool = False, only_if_rows: bool = Fal
         return False
     flat = df.select(*(F.array_join(c, ", ").alias(c) if t.startswith("array<") else F.col(c) for c, t in df.dtypes))
     names = [f"﻿{c}" if bom and i == 0 else c for i, c in enumerate(flat.columns)]
-    flat.toDF(*names).write.mode("overwrite").option("header", True).option("quoteAll", True).csv(path)
+    flat.toDF(*names).write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
     return True
 
 
