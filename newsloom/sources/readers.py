@@ -46,7 +46,10 @@ def csv_any_encoding(spark: SparkSession, path: str, *columns: str, fallback: st
     """UTF-8, or the fallback if a character can't be read as UTF-8."""
     df = csv_strings(spark, path, encoding="UTF-8")
     broken = df.where(F.concat_ws("", *df.columns).contains("�")).limit(1).count() or any("�" in c for c in df.columns)
-    return require(csv_strings(spark, path, encoding=fallback) if broken else df, *columns)
+    if broken:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # GBK isn't in the short list; the plan reads this when it runs
+        df = csv_strings(spark, path, encoding=fallback)
+    return require(df, *columns)
 
 
 def csv_inferred(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
