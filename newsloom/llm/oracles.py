@@ -39,6 +39,48 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS NOT DISTINCT
 FROM f
 """
 
+#: Words and shingles of the Jaccard contract.
+_OP5 = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS g FROM w),
+e AS (SELECT rid, len(g) AS n, unnest(g) AS s FROM g),
+p AS (SELECT x.rid AS a, y.rid AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS c FROM e x JOIN e y ON x.s = y.s AND x.rid <> y.rid GROUP BY ALL),
+links AS (SELECT a, b FROM p WHERE 100 * c >= 75 * (na + nb - c)),
+reach AS (SELECT rid AS a, rid AS b FROM g UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(d.doc_id) AS component_id FROM reach JOIN g d ON d.rid = b GROUP BY a)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id FROM g JOIN least ON a = rid
+"""
+
+
+def _op6() -> str:
+    from .quality import _MENU, KEEP_SHARE, MIN_WORDS, REPEAT_PERCENT, SHORT_LINE, SYMBOL_SHARE
+
+    menu = "|".join(sorted(x.decode() for x in _MENU))
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce("text", '') AS t FROM documents),
+w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+win AS (SELECT rid, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),
+twice AS (SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+rep AS (SELECT rid, count(DISTINCT q) AS n FROM (SELECT rid, unnest(range(i, i + 8)) AS q FROM twice) GROUP BY rid),
+lines AS (SELECT rid, generate_subscripts(string_split(t, chr(10)), 1) AS k, unnest(string_split(t, chr(10))) AS l FROM d),
+full_lines AS (SELECT rid, k, l, translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n FROM lines WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+judged AS (
+  SELECT rid, n, row_number() OVER (PARTITION BY rid, l ORDER BY k) > 1 AS dup,
+    len(regexp_extract_all(l, '[#*$%&|<>]')) > {SYMBOL_SHARE} * n
+    OR (n <= 12 AND (len(regexp_extract_all(l, '[|>»·•]')) >= 2 OR regexp_full_match(low, '[\x20\x09-\x0D]*(?:[.,|]*(?:{menu})[.,|]*(?:[\x20\x09-\x0D]+|$))+')))
+    OR (n < {SHORT_LINE} AND NOT regexp_matches(l, '[.!?:;"'')\]…”’»。！？」』）][\x20\x09-\x0D]*$'))
+    OR regexp_matches(low, '\b(?:cookies?|javascript|privacy policy|terms of (?:use|service)|all rights reserved|subscribe|newsletter|click here|sign up|lorem ipsum)\b') AS bad
+  FROM full_lines),
+lost AS (SELECT rid, count(*) FILTER (dup) AS dups, coalesce(sum(n) FILTER (dup OR bad), 0) AS lost FROM judged GROUP BY rid),
+f AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(length(array_to_string(w, '')), 0) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(dups, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(lost, 0) AS lost
+  FROM w LEFT JOIN rep USING (rid) LEFT JOIN lost USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed,
+  NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words) AND n_words - lost >= {KEEP_SHARE} * n_words AS kept
+FROM f"""
+
 
 def _op10() -> str:
     from .licenses import ABOUT, RULES, SENTENCES
@@ -60,4 +102,4 @@ FROM cut LEFT JOIN r{len(RULES)} USING (rid)"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": _OP2, "op8_warc": _OP8, "op10_license_scan": _op10()}
+    return {"op2_decontamination": _OP2, "op5_jaccard_join": _OP5, "op6_quality_rules": _op6(), "op8_warc": _OP8, "op10_license_scan": _op10()}
