@@ -43,8 +43,12 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return df.mapInArrow(run, schema)
 
 
-def fold_bytes(df: DataFrame, column: str, dtype: str, merge: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray | None:
-    """Merges equal-length binary arrays, one a task, in two levels, so that no task and not the driver gets one from each task."""
+def fold_bytes(df: DataFrame, column: str, dtype: str, merge: Callable[[np.ndarray, np.ndarray], np.ndarray], scratch: Scratch | None = None) -> np.ndarray | None:
+    """Merges equal-length binary arrays, one a task, in two levels, so that no task and not the driver gets one from each task.
+
+    The frame must read written rows, or a scratch folder be given to write them first: the levels are narrow, and would
+    else pull the work above them into their few tasks.
+    """
     schema = f"{column} binary"
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -58,6 +62,10 @@ def fold_bytes(df: DataFrame, column: str, dtype: str, merge: Callable[[np.ndarr
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=[column])
 
     small = df.select(column).where(F.col(column).isNotNull())
+    if scratch is not None:
+        small = scratch.keep(small, "folded")
     n = max(1, int(small.rdd.getNumPartitions() ** 0.5))
     rows = small.coalesce(n).mapInArrow(some, schema).coalesce(1).mapInArrow(some, schema).collect()
+    if scratch is not None:
+        scratch.drop("folded")
     return np.frombuffer(bytes(rows[0][0]), dtype).copy() if rows else None

@@ -297,7 +297,7 @@ def _link(texts: DataFrame, shared: DataFrame, sets: DataFrame, scratch: Scratch
             continue
         kids = pairs.select(F.explode(F.array("u", "v")).alias("kid")).distinct()
         firsts = sets.join(kids, "kid", "left_semi").select(F.xxhash64("first").alias("id_hash"))
-        wanted = spark.sparkContext.broadcast(fold_bytes(firsts.mapInArrow(_bits, "bits binary"), "bits", "u1", np.bitwise_or).tobytes())
+        wanted = spark.sparkContext.broadcast(fold_bytes(firsts.mapInArrow(_bits, "bits binary"), "bits", "u1", np.bitwise_or, scratch).tobytes())
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
         found = scratch.keep(_sets_of(texts, wanted, words).join(kids, "kid", "left_semi"), "found")
         one = pairs.join(found.select(F.col("kid").alias("u"), F.col("grams").alias("gu")), "u")

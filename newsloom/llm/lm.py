@@ -1,7 +1,7 @@
 """LM scoring by a causal self-attention model over subword ids, trained in numpy.
 
-A text's tokens are its words (runs without ASCII white space, A-Z lower-cased) and one end.  Each word is cut into the
-subword ids of a public byte-level BPE vocabulary; the model gives the probability of each id given those before it:
+A text's tokens are its words (runs without ASCII white space, A-Z lower-cased) and one end.  Each word is cut into subword
+ids, the longest matches from the left in a public byte-level BPE vocabulary; the model gives the probability of each id given those before it:
 
     p(id | context) = softmax over classes (one attention layer and a hidden layer) x share of the id in its class
 
@@ -27,6 +27,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +41,11 @@ FOLDS, HELD = 7, 2
 #: Words whose counts are broadcast; all others are joined by shuffle.
 FREQUENT = 200_000
 #: Ids before a scored id that it surely sees; one stretch in so many is trained on; rounds of averaging.
-CONTEXT, TRAIN_STRIDE, ROUNDS = 16, 8, 2
+CONTEXT, TRAIN_STRIDE, ROUNDS = 16, 16, 2
 #: Width of the embedding and of the hidden layer; classes; rows of the embedding (rarer ids share them); neighbourhood slots.
-WIDTH, HIDDEN, CLASSES, ROWS, NEAR = 24, 48, 96, 6144, 24
+WIDTH, HIDDEN, CLASSES, ROWS, NEAR = 16, 32, 64, 6144, 24
+#: Words whose ids a Python worker remembers at a time.
+CACHE_WORDS = 400_000
 RATE, SEED = 0.05, 11
 
 
@@ -76,7 +79,7 @@ def _counted(counts: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"])
 
 
-def _id_stats(counts: DataFrame, shared) -> np.ndarray:
+def _id_stats(counts: DataFrame, shared, scratch: Scratch) -> np.ndarray:
     """From the word counts: for each id its count, and counts of slots of the ids before and after it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -85,9 +88,9 @@ def _id_stats(counts: DataFrame, shared) -> np.ndarray:
         stats = np.zeros((size, 1 + 2 * NEAR), np.float32)
         for b in batches:
             words, c = b.column(0).to_pylist(), b.column(1).to_numpy()
-            ids = [np.frombuffer(x, "<u4").astype(np.int64) if w else np.array([end]) for w, x in zip(words, bpe.encode_batch([b" " + w for w in words]), strict=True)]
+            ids = [bpe.greedy(b" " + w) if w else [end] for w in words]
             n = np.array([len(x) for x in ids])
-            flat, weight = np.concatenate(ids), np.repeat(c, n).astype(np.float32)
+            flat, weight = np.fromiter(chain.from_iterable(ids), np.int64), np.repeat(c, n).astype(np.float32)
             first = np.zeros(len(flat), bool)
             first[np.cumsum(n) - n] = True
             last = np.roll(first, -1)
@@ -98,7 +101,7 @@ def _id_stats(counts: DataFrame, shared) -> np.ndarray:
         if stats.any():
             yield pa.RecordBatch.from_arrays([pa.array([stats.tobytes()], pa.binary())], names=["stats"])
 
-    got = fold_bytes(counts.coalesce(12).mapInArrow(run, "stats binary"), "stats", "<f4", lambda a, b: a + b)
+    got = fold_bytes(counts.coalesce(200).mapInArrow(run, "stats binary"), "stats", "<f4", lambda a, b: a + b, scratch)
     size = len(shared.value.bytes)
     return np.zeros((size, 1 + 2 * NEAR), np.float32) if got is None else got.reshape(size, -1)
 
@@ -146,6 +149,7 @@ class Net:
             n = int(np.prod(s))
             self.w[name] = self.flat[at : at + n].reshape(s)
             at += n
+        self.tables = None
         mask = np.arange(2 * CONTEXT)[None, :] <= np.arange(CONTEXT)[:, None] + CONTEXT
         self.mask = np.where(mask, 0, -1e9).astype(np.float32)
 
@@ -153,6 +157,31 @@ class Net:
         """Log probabilities of the classes after each of the last CONTEXT inputs of windows x (rows of the embedding)."""
         return self._forward(x)["y"]
 
+    def log_targets(self, x: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Log probabilities of the target classes only.  What depends on one row alone is looked up in tables made once."""
+        if self.tables is None:
+            w, scale = self.w, np.float32(WIDTH**-0.5)
+            self.tables = [w["e"] @ w["q"] * scale, (w["p"] @ w["q"] * scale)[CONTEXT:], w["e"] @ w["k"], w["p"] @ w["k"], w["e"] @ (w["v"] @ w["o"]), w["p"] @ (w["v"] @ w["o"])]
+        eq, pq, ek, pk, ev, pv = self.tables
+        b, last = len(x), x[:, CONTEXT:]
+        s = (eq[last] + pq) @ (ek[x] + pk).transpose(0, 2, 1)
+        s += self.mask
+        np.minimum(s, 60, out=s)  # no overflow; scores are far below
+        np.exp(s, out=s)
+        r = s @ (ev[x] + pv)
+        r /= s.sum(-1, keepdims=True) + np.float32(1e-30)
+        r += self.w["e"][last]
+        r += self.w["p"][CONTEXT:]
+        z = r.reshape(-1, WIDTH) @ self.w["a"]
+        z += self.w["ab"]
+        np.maximum(z, 0, out=z)
+        y = z @ self.w["c"]
+        y += self.w["cb"]
+        got = y[np.arange(len(y)), target.ravel()]
+        np.minimum(y, 60, out=y)
+        np.exp(y, out=y)
+        return (got - np.log(y.sum(-1))).reshape(b, CONTEXT)
+
     def _forward(self, x: np.ndarray) -> dict:
         w, half = self.w, slice(CONTEXT, None)
         h = w["e"][x] + w["p"]
@@ -167,7 +196,7 @@ class Net:
         s /= s.sum(-1, keepdims=True)
         m = s @ v
         r = hq + (m.reshape(-1, d) @ w["o"]).reshape(b, CONTEXT, d)
-        z = np.tanh(r.reshape(-1, d) @ w["a"] + w["ab"])
+        z = np.maximum(r.reshape(-1, d) @ w["a"] + w["ab"], 0)
         y = z @ w["c"] + w["cb"]
         y -= y.max(-1, keepdims=True)
         y -= np.log(np.exp(y).sum(-1, keepdims=True))
@@ -182,7 +211,7 @@ class Net:
         dy[np.arange(len(dy)), target.ravel()] -= 1
         dy *= (weight.ravel() / max(1.0, float(weight.sum())))[:, None]
         g = {"c": f["z"].T @ dy, "cb": dy.sum(0)}
-        da = (dy @ w["c"].T) * (1 - f["z"] ** 2)
+        da = (dy @ w["c"].T) * (f["z"] > 0)
         g["a"], g["ab"] = flat(f["r"]).T @ da, da.sum(0)
         dr = da @ w["a"].T
         g["o"] = flat(f["m"]).T @ dr
@@ -220,6 +249,7 @@ class Model:
     """Everything that scoring needs; all sizes are fixed by the vocabulary and the constants above."""
 
     def __init__(self, stats: np.ndarray, bpe: Bpe):
+        self.cache: dict[bytes, bytes] = {}
         self.bpe, self.end = bpe, bpe.special.get("<|endoftext|>", len(bpe.bytes) - 1)
         count = stats[:, 0].astype(np.float64)
         self.group = classes_of(stats)
@@ -235,9 +265,19 @@ class Model:
 
     def ids(self, raws: list[bytes]) -> list[np.ndarray]:
         """Subword ids of the words of each text, and the end."""
-        words = [raw.lower().split() for raw in raws]
-        coded = self.bpe.encode_batch([b" " + b" ".join(w) if w else b"" for w in words])
-        return [np.append(np.frombuffer(x, "<u4").astype(np.int64), self.end) for x in coded]
+        cache, greedy, out = self.cache, self.bpe.greedy, []
+        end = np.array([self.end], "<u4").tobytes()
+        for raw in raws:
+            words = raw.lower().split()
+            for w in set(words).difference(cache):
+                cache[w] = np.array(greedy(b" " + w), "<u4").tobytes()
+            out.append(np.frombuffer(b"".join([*map(cache.__getitem__, words), end]), "<u4").astype(np.int64))
+            if len(cache) > CACHE_WORDS:
+                cache.clear()
+        return out
+
+    def __getstate__(self):
+        return self.__dict__ | {"cache": {}}
 
     def windows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Inputs, targets and weights: window i has 2 x CONTEXT inputs and scores ids i x CONTEXT and on."""
@@ -259,8 +299,7 @@ class Model:
         got = np.empty(y.shape, np.float32)
         for i in range(0, len(x), block):
             s = slice(i, i + block)
-            log = self.net.log_classes(x[s])
-            got[s] = np.take_along_axis(log, self.group[y[s]][..., None], -1)[..., 0] / np.float32(np.log(10)) + self.share[y[s]]
+            got[s] = self.net.log_targets(x[s], self.group[y[s]]) / np.float32(np.log(10)) + self.share[y[s]]
         got, out, at = got.ravel().astype(np.float64), [], 0
         for ids, part, chance in zip(all_ids, parts, chances, strict=True):
             word = np.add.reduceat(got[at : at + len(ids)], np.flatnonzero(self.starts[ids]))
@@ -314,7 +353,7 @@ def score(docs: DataFrame, bpe: Bpe, scratch: Scratch, *, id_col: str = "doc_id"
     top = {bytes(r["word"]): r["c"] for r in counts.orderBy(F.desc("c"), "word").limit(frequent).collect()}
     known = sc.broadcast(top)
     shared = sc.broadcast(bpe)
-    model = Model(_id_stats(counts, shared), bpe)
+    model = Model(_id_stats(counts, shared, scratch), bpe)
     for r in range(rounds):
         sent = sc.broadcast(model)
         got = fold_bytes(scratch.keep(_train_round(df, sent, r, rounds), "nets"), "net", "<f4", lambda a, b: a + b)

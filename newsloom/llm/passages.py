@@ -68,7 +68,7 @@ def _seed_rows(docs: DataFrame, wanted=None) -> DataFrame:
     return docs.mapInArrow(run, "seed long, id long, pos long")
 
 
-def _filter_of(df: DataFrame, bits: int):
+def _filter_of(df: DataFrame, bits: int, scratch: Scratch):
     """A broadcast bit filter of all columns' values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -79,7 +79,7 @@ def _filter_of(df: DataFrame, bits: int):
         if flags.any():
             yield pa.RecordBatch.from_arrays([pa.array([np.packbits(flags).tobytes()], pa.binary())], names=["bits"])
 
-    got = fold_bytes(df.mapInArrow(run, "bits binary"), "bits", "u1", np.bitwise_or)
+    got = fold_bytes(df.mapInArrow(run, "bits binary"), "bits", "u1", np.bitwise_or, scratch)
     return None if got is None else df.sparkSession.sparkContext.broadcast(got.tobytes())
 
 
@@ -236,13 +236,13 @@ def find(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col:
     shared = scratch.keep(per_seed.where("lo < hi"), "shared")
     spark = docs.sparkSession
     empty = spark.createDataFrame([], _PASSAGE)
-    wanted = _filter_of(shared.select("seed"), SEED_BITS)
+    wanted = _filter_of(shared.select("seed"), SEED_BITS, scratch)
     if wanted is None:
         return empty
     homes = F.filter(F.array(F.struct(F.col("lo").alias("home"), F.col("lo_pos").alias("hpos")), F.struct(F.col("hi").alias("home"), F.col("hi_pos").alias("hpos"))), lambda h: h["home"] != F.col("id"))
     matches = _seed_rows(df, wanted).join(shared, "seed").select("id", "pos", F.inline(homes))
     found = scratch.keep(matches.select("id", "home", "pos", "hpos").repartition("id", "home").mapInArrow(_chain_rows, _CHAIN), "chains")
-    involved = _filter_of(found.select("id", "home"), DOC_BITS)
+    involved = _filter_of(found.select("id", "home"), DOC_BITS, scratch)
     if involved is None:
         return empty
     words = scratch.keep(_words(df, involved), "words")

@@ -157,6 +157,8 @@ def test_lm_is_causal():
     a, b = net.log_classes(x), net.log_classes(other)
     assert np.allclose(a[0, :-1], b[0, :-1]) and not np.allclose(a[0, -1], b[0, -1])
     assert np.allclose(np.exp(a).sum(-1), 1, atol=1e-4)
+    target = np.arange(lm.CONTEXT)[None, :] % lm.CLASSES
+    assert np.allclose(net.log_targets(x, target), np.take_along_axis(a, target[..., None], -1)[..., 0], atol=1e-4)
 
 
 def _pii_base(t):
