@@ -2,8 +2,8 @@
 
 A document's set is its distinct 5-word shingles.  Equal sets are one from the start.  Shingles are ordered rare first, by
 counts hashed into ``SLOTS`` slots (any common order is exact; the counts only make prefixes rare), so two sets that
-reach the threshold share a shingle in their prefixes.  Sets that share one are candidates if their lengths, the positions of
-the shared shingles and the number of them allow it; a candidate pair is verified once, with a suffix filter before the
+reach the threshold share a shingle in their prefixes.  Sets that share one are candidates if their lengths and the positions of
+the first shared shingle allow it; a candidate pair is verified once, with a suffix filter before the
 exact intersection.
 
 What is asked for is classes, so a pair within a class already found needs no verification.  The join goes in rounds: in
@@ -133,10 +133,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
 
 
 def _may_link(at_a: np.ndarray, at_b: np.ndarray, percent: int) -> np.ndarray:
-    """Length and positional filters for pairs that share the shingles at these positions."""
+    """Length and positional filters for pairs that share the shingles at these positions.
+
+    The first shingle that a pair shares has nothing shared before it, so what the pair can share is what stands from there on
+    in either set.  Linked pairs pass at that shingle; that others are offered at a later one doesn't matter.
+    """
     na, nb, pa_, pb = at_a >> 32, at_b >> 32, at_a & 0xFFFFFFFF, at_b & 0xFFFFFFFF
     small, large = np.minimum(na, nb), np.maximum(na, nb)
-    most = np.minimum(pa_, pb) + 1 + np.minimum(na - pa_ - 1, nb - pb - 1)  # shared before, this one, and after
+    most = np.minimum(na - pa_, nb - pb)
     return (100 * small >= percent * large) & ((100 + percent) * most >= percent * (na + nb))
 
 
@@ -185,15 +189,12 @@ def _ranks(copies: np.ndarray, tie: np.ndarray) -> np.ndarray:
 
 
 def _pairs(kid, at, comp, i, j, percent) -> Iterable[pa.RecordBatch]:
-    """The pairs that may link, with the most that they can share outside both prefixes, and how much they must share."""
+    """The pairs that may link, each once."""
     ok = (comp[i] != comp[j]) & _may_link(at[i], at[j], percent)
     if ok.any():
-        i, j = i[ok], j[ok]
-        x, y, nx, ny = kid[i], kid[j], at[i] >> 32, at[j] >> 32
-        rest = np.maximum(-(-percent * nx // 100), -(-percent * ny // 100)) - 1
-        need = -(-percent * (nx + ny) // (100 + percent))
-        pairs, shared = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y), need - rest), 1), axis=0, return_counts=True)
-        yield pa.RecordBatch.from_arrays([*(pa.array(pairs[:, c].copy()) for c in range(3)), pa.array(shared.astype(np.int64))], names=["u", "v", "least", "shared"])
+        x, y = kid[i[ok]], kid[j[ok]]
+        pairs = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y)), 1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["u", "v"])
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -285,9 +286,7 @@ def _link(texts: DataFrame, shared: DataFrame, sets: DataFrame, scratch: Scratch
             state = with_copies.withColumn("comp", F.col("kid"))
         else:
             state = with_copies.join(labels, with_copies["kid"] == labels["node"], "left").withColumn("comp", F.coalesce("comp", "kid"))
-        offers = state.select("gram", "kid", "at", "comp", "copies").repartition("gram").mapInArrow(_offers(round_, percent), "u long, v long, least long, shared long")
-        # all that they share is in both prefixes, or behind the prefix that ends first; centres see only some of it
-        offered = offers.groupBy("u", "v").agg(F.sum("shared").alias("shared"), F.first("least").alias("least")).where("shared >= least").select("u", "v")
+        offered = state.select("gram", "kid", "at", "comp", "copies").repartition("gram").mapInArrow(_offers(round_, percent), "u long, v long").distinct()
         if tried is not None:
             offered = offered.join(tried, ["u", "v"], "left_anti")
         pairs = scratch.keep(offered, "pairs")
