@@ -8,8 +8,8 @@ ids, the longest matches from the left in a public byte-level BPE vocabulary; th
 and a word's probability is the even mixture of its ids' and of its share of the corpus, if it is among the most frequent
 words.  The corpus gives everything that is counted: the counts of all words of all training documents, from them the counts of
 all ids and of which ids stand next to which, the classes (k-means over those neighbourhoods), and the shares.  The
-network is trained by data-parallel SGD: one in ``TRAIN_STRIDE`` stretches of every training document, in ``ROUNDS`` rounds,
-each task starting from the mean of the last round's tasks; so training grows with the corpus, at a fixed rate.
+network is trained by data-parallel SGD on all ids of every training document, each document in one of ``ROUNDS`` rounds,
+each task starting from the mean of the last round's tasks; so training grows with the corpus.
 
 Scoring runs over overlapping windows of ``CONTEXT`` + ``CONTEXT`` ids: each id is scored once, in the second half of its
 window, with at least ``CONTEXT`` ids before it, or padding at the start of the text.
@@ -40,10 +40,10 @@ from .common import Scratch, fold_bytes, raw_texts
 FOLDS, HELD = 7, 2
 #: Words whose counts are broadcast; all others are joined by shuffle.
 FREQUENT = 200_000
-#: Ids before a scored id that it surely sees; one stretch in so many is trained on; rounds of averaging.
-CONTEXT, TRAIN_STRIDE, ROUNDS = 16, 16, 2
+#: Ids before a scored id that it surely sees; windows in a step of training; rounds of averaging.
+CONTEXT, STEP, ROUNDS = 16, 64, 2
 #: Width of the embedding and of the hidden layer; classes; rows of the embedding (rarer ids share them); neighbourhood slots.
-WIDTH, HIDDEN, CLASSES, ROWS, NEAR = 16, 32, 64, 6144, 24
+WIDTH, HIDDEN, CLASSES, ROWS, NEAR = 24, 48, 96, 6144, 24
 #: Words whose ids a Python worker remembers at a time.
 CACHE_WORDS = 400_000
 RATE, SEED = 0.05, 11
@@ -233,9 +233,9 @@ class Net:
         """A step of Adagrad."""
         for name, g in self.gradients(x, target, weight).items():
             if name == "e":
-                rows, back = np.unique(g[0], return_inverse=True)
-                total = np.zeros((len(rows), WIDTH), np.float32)
-                np.add.at(total, back, g[1])
+                by = np.argsort(g[0], kind="stable")
+                rows, first = np.unique(g[0][by], return_index=True)
+                total = np.add.reduceat(g[1][by], first, axis=0)
                 seen = state.setdefault("e", np.full(self.shapes["e"], 1e-6, np.float32))
                 seen[rows] += total**2
                 self.w["e"][rows] -= rate * total / np.sqrt(seen[rows])
@@ -309,7 +309,7 @@ class Model:
 
 
 def _train_round(docs: DataFrame, model, round_: int, rounds: int) -> np.ndarray | None:
-    """The mean of the tasks' networks after this round's share of stretches, weighted by what each saw."""
+    """The tasks' networks after all windows of this round's documents, each times the ids it saw, and that number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         m, state, seen, buffer = model.value, {}, 0, []
@@ -323,18 +323,15 @@ def _train_round(docs: DataFrame, model, round_: int, rounds: int) -> np.ndarray
         for b in batches:
             raws = []
             for id_, raw in zip(b.column("id").to_pylist(), raw_texts(b, "text"), strict=True):
-                h = zlib.crc32(f"stretch {id_}".encode())
-                if is_held_out(id_) or h % rounds != round_:
-                    continue
-                words, size = raw.split(), 2 * CONTEXT
-                skip = (h // rounds) % TRAIN_STRIDE  # of every TRAIN_STRIDE stretches this one; short texts give their first
-                starts = range(skip * size if len(words) > skip * size else 0, max(1, len(words)), TRAIN_STRIDE * size)
-                raws += [b" ".join(words[s : s + size]) for s in starts]
+                if not is_held_out(id_) and zlib.crc32(f"stretch {id_}".encode()) % rounds == round_:
+                    raws.append(raw)
             for ids in m.ids(raws):
-                buffer.append(m.windows(ids[:-1] if len(ids) > 1 else ids))
+                part = m.windows(ids)
                 seen += len(ids)
-                if sum(len(p[0]) for p in buffer) >= 64:
-                    step()
+                for i in range(0, len(part[0]), STEP):
+                    buffer.append([a[i : i + STEP] for a in part])
+                    if sum(len(p[0]) for p in buffer) >= STEP:
+                        step()
         if buffer:
             step()
         if seen:

@@ -127,6 +127,14 @@ def test_lm(spark, docs, rows, monkeypatch):
     assert empty.count() == 0
 
 
+def test_lm_trains_on_every_id(spark, docs, rows):
+    model = lm.Model(np.ones((len(byte_bpe().bytes), 1 + 2 * lm.NEAR), np.float32), byte_bpe())
+    sent = spark.sparkContext.broadcast(model)
+    df = docs.select(F.col("doc_id").alias("id"), "text")
+    nets = [np.frombuffer(bytes(r["net"]), "<f4") for k in range(lm.ROUNDS) for r in lm._train_round(df, sent, k, lm.ROUNDS).collect()]
+    assert sum(int(x[-1]) for x in nets) == sum(map(len, model.ids([(r[1] or "").encode() for r in rows if not lm.is_held_out(r[0])])))
+
+
 def test_lm_gradients():
     rng = np.random.default_rng(0)
     net = lm.Net(np.random.default_rng(1).standard_normal(lm.Net.size) * 0.2)
