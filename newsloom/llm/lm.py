@@ -5,8 +5,8 @@ ids, the longest matches from the left in a public byte-level BPE vocabulary; th
 
     p(id | context) = softmax over classes (one attention layer and a hidden layer) x share of the id in its class
 
-and a word's probability is the even mixture of its ids' and of its share of the corpus, if it is among the most frequent
-words.  The corpus gives everything that is counted: the counts of all words of all training documents, from them the counts of
+and a word's probability is the even mixture of its ids' and of its share of the corpus, which is 0 for unknown words.
+The corpus gives everything that is counted: the counts of all words of all training documents, from them the counts of
 all ids and of which ids stand next to which, the classes (k-means over those neighbourhoods), and the shares.  The
 network is trained by data-parallel SGD on all ids of every training document, each document in one of ``ROUNDS`` rounds,
 each task starting from the mean of the last round's tasks; so training grows with the corpus.
@@ -14,8 +14,8 @@ each task starting from the mean of the last round's tasks; so training grows wi
 Scoring runs over overlapping windows of ``CONTEXT`` + ``CONTEXT`` ids: each id is scored once, in the second half of its
 window, with at least ``CONTEXT`` ids before it, or padding at the start of the text.
 
-Base scores need the count of every word of every document.  The ``FREQUENT`` most frequent words go out by broadcast; the
-others are joined by shuffle.
+Both scores need the count of every word of every document.  The ``FREQUENT`` most frequent words go out by broadcast; the
+others are joined by shuffle, with what the network says of each place of theirs.
 
 Defined results: null and empty texts have the end only; a null id counts as an empty text for the choice of training
 documents, so it trains; repeated rows are scored, and trained on, a row each; with no training document at all N and V
@@ -288,8 +288,8 @@ class Model:
         y[: len(ids)], weight[: len(ids)] = ids, 1
         return np.lib.stride_tricks.sliding_window_view(x, 2 * CONTEXT)[::CONTEXT], y.reshape(n, CONTEXT), weight.reshape(n, CONTEXT)
 
-    def score(self, raws: list[bytes], chances: list[np.ndarray], block: int = 256) -> list[float]:
-        """log10 probability of each text, given each word's probability by the counts of frequent words (0 if not among them).
+    def score(self, raws: list[bytes], chances: list[np.ndarray], block: int = 256) -> list[tuple[float, np.ndarray]]:
+        """log10 probability of each text, given each word's probability by the counts (0 if unknown), and of each word by the network.
 
         A word's probability is the even mixture of that and of its ids' by the network, so it adds up to 1 over all words.
         """
@@ -304,7 +304,7 @@ class Model:
         for ids, part, chance in zip(all_ids, parts, chances, strict=True):
             word = np.add.reduceat(got[at : at + len(ids)], np.flatnonzero(self.starts[ids]))
             at += part[1].size
-            out.append(float(np.logaddexp(word * np.log(10), np.log(np.maximum(chance, 1e-300))).sum() / np.log(10) - len(word) * np.log10(2)))
+            out.append((float(np.logaddexp(word * np.log(10), np.log(np.maximum(chance, 1e-300))).sum() / np.log(10) - len(word) * np.log10(2)), word))
         return out
 
 
@@ -364,7 +364,7 @@ def score(docs: DataFrame, bpe: Bpe, scratch: Scratch, *, id_col: str = "doc_id"
         get, m = known.value.get, sent.value
         for b in batches:
             raws = raw_texts(b, "text")
-            n, hits, base, rare, chances = [], [], [], [], []
+            n, hits, base, others, chances = [], [], [], [], []
             for raw in raws:
                 words = raw.lower().split()
                 words.append(b"")
@@ -374,17 +374,27 @@ def score(docs: DataFrame, bpe: Bpe, scratch: Scratch, *, id_col: str = "doc_id"
                 hits.append(int(found.sum()))
                 chances.append(c / max(1, total))
                 base.append(float(np.log10(c[found] + 1).sum()))
-                rare.append([] if whole else list(Counter(words[i] for i in np.flatnonzero(~found).tolist()).items()))
+                others.append([] if whole else [(i, words[i]) for i in np.flatnonzero(~found).tolist()])
+            scores, rare = [], []
+            for (score_, by_word), places in zip(m.score(raws, chances), others, strict=True):
+                scores.append(score_)
+                at: dict[bytes, list[float]] = {}
+                for i, w in places:
+                    at.setdefault(w, []).append(float(by_word[i]))
+                rare.append([{"word": w, "at": x} for w, x in at.items()])
             held = [is_held_out(x) for x in b.column("id").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(held), pa.array(n, pa.int64()), pa.array(hits, pa.int64()), pa.array(base, pa.float64()), pa.array(m.score(raws, chances), pa.float64()), pa.array([[{"word": w, "n": k} for w, k in x] for x in rare], pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))],
+                [b.column("id"), pa.array(held), pa.array(n, pa.int64()), pa.array(hits, pa.int64()), pa.array(base, pa.float64()), pa.array(scores, pa.float64()), pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("at", pa.list_(pa.float64()))])))],
                 names=["id", "held_out", "n_tokens", "hits", "base", "score", "rare"],
             )
 
-    scored = df.mapInArrow(run, f"id {kind}, held_out boolean, n_tokens long, hits long, base double, score double, rare array<struct<word:binary,n:bigint>>")
+    scored = df.mapInArrow(run, f"id {kind}, held_out boolean, n_tokens long, hits long, base double, score double, rare array<struct<word:binary,at:array<double>>>")
     kept = scratch.keep(scored.withColumn("uid", F.monotonically_increasing_id()), "scored")  # written, so the numbers stay
     rest = kept.select("uid", F.inline("rare"))
-    others = rest.join(counts, "word").groupBy("uid").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("gain"))
+    n, chance = F.size("at").cast("long"), F.log10(F.col("c") / F.lit(float(max(1, total))))
+    mixed = lambda x, y: F.greatest(x, y) + F.log1p(F.pow(F.lit(10.0), -F.abs(x - y))) / F.lit(float(np.log(10)))
+    share = F.aggregate("at", F.lit(0.0), lambda a, x: a + mixed(x, chance) - mixed(x, F.lit(-300.0)))
+    others = rest.join(counts, "word").groupBy("uid").agg(F.sum(n).alias("more"), F.sum(n * F.log10(F.col("c") + 1)).alias("gain"), F.sum(share).alias("shares"))
     out = kept.drop("rare").join(others, "uid", "left")
     floor = float(np.log10(total + distinct + 1))
     return out.select(
@@ -394,5 +404,5 @@ def score(docs: DataFrame, bpe: Bpe, scratch: Scratch, *, id_col: str = "doc_id"
         (F.col("hits") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("gain", F.lit(0.0)) - F.col("n_tokens") * F.lit(floor)).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("shares", F.lit(0.0))).alias("score"),
     )

@@ -135,6 +135,12 @@ def test_lm_trains_on_every_id(spark, docs, rows):
     assert sum(int(x[-1]) for x in nets) == sum(map(len, model.ids([(r[1] or "").encode() for r in rows if not lm.is_held_out(r[0])])))
 
 
+def test_lm_scores_do_not_hang_on_what_is_broadcast(spark, docs):
+    few, all_ = (sorted((repr(r["doc_id"]), r["score"]) for r in lm.score(docs, byte_bpe(), Scratch(spark, "t"), frequent=n, rounds=0).collect()) for n in (3, 10**6))
+    assert [x for x, _ in few] == [x for x, _ in all_]
+    assert [y for _, y in few] == pytest.approx([y for _, y in all_], rel=1e-9)
+
+
 def test_lm_gradients():
     rng = np.random.default_rng(0)
     net = lm.Net(np.random.default_rng(1).standard_normal(lm.Net.size) * 0.2)
