@@ -154,7 +154,7 @@ def candidates(df: DataFrame, text_col: str, out: str) -> DataFrame:
     loose = F.concat(*(_found(text, p, kind, False) for kind, p in LOOSE.items()))
     work, spare = f"{out}_base", f"{out}_loose"
     df = df.withColumn(work, F.filter(base, _passes))
-    df = df.withColumn(spare, F.when(text.rlike(r"[0-9]{3}[\x20)-]|(?i)[\x20\[(]at[\x20\])]|[0-9]{13}"), loose).otherwise(F.expr(f"cast(array() as {_SPAN})")))
+    df = df.withColumn(spare, loose)
     both = F.concat(work, F.filter(spare, lambda c: ~F.exists(F.col(work), lambda b: _crosses(b, c))))
     return df.withColumn(out, F.transform(both, lambda s: _voted(text, s))).drop(work, spare)
 

@@ -204,6 +204,15 @@ def test_pii_masks(spark):
     assert tuple(got[2]) == (2, "nothing 12 here", 15, "y") and got[3]["text"] is None
 
 
+def test_pii_candidates_stand_alone(spark):
+    """A candidate is found whatever else the text has."""
+    texts = ["Call 555.123.4567.", "Call (555) 123-4567", "visa 4 1 1 1 1 1 1 1 1 1 1 1 9 done", "visa 41 11-11 11-11 11 19", "a[at]b[dot]c", "ssn 123-45-6789"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: {s["kind"] for s in r["found"]} for r in pii.candidates(d, "text", "found").collect()}
+    want = ["phone", "phone", "card", "card", "email", "ssn"]
+    assert [k in got[i] for i, k in enumerate(want)] == [True] * len(want)
+
+
 def _classes(texts, n=5):
     sets = []
     for t in texts:
