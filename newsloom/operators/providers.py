@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import json
 import time
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from typing import Protocol
 
@@ -49,9 +50,9 @@ class HashEmbedder:
         for s in texts:
             v = np.zeros(self.dim)
             padded = f"  {s}  "
-            for i in range(len(padded) - 2):
-                h = int.from_bytes(hashlib.blake2b(padded[i : i + 3].encode(), digest_size=8).digest(), "little")
-                v[h % self.dim] += 1 if h >> 63 else -1
+            for gram, n in Counter(padded[i : i + 3] for i in range(len(padded) - 2)).items():
+                h = int.from_bytes(hashlib.blake2b(gram.encode(), digest_size=8).digest(), "little")
+                v[h % self.dim] += n if h >> 63 else -n
             out.append((v / (np.linalg.norm(v) + 1e-12)).tolist())
         return out
 

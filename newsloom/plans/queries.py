@@ -429,7 +429,7 @@ def news_industries(spark, d):
 
 @query
 def hash_embeddings(spark, d):
-    n = providers.embed(_docs(spark, d).select("doc_id", F.col("title").alias("event_summary")), "event_summary", providers.HashEmbedder())
+    n = providers.embed(_docs(spark, d).select("doc_id", F.col("text").alias("event_summary")), "event_summary", providers.HashEmbedder())
     return n.select("doc_id", "embedding_model", "embedding_dim", F.round(topics.dot(F.col("embedding"), F.col("embedding")), 4).alias("norm2"))
 
 

@@ -33,6 +33,12 @@ def test_query(spark, sf, name):
     assert got == want
 
 
+def test_hash_embeddings_take_whole_texts(spark, tmp_path):
+    rows = [(1, " " * 50 + "late text"), (2, "  "), (3, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r["doc_id"] for r in queries.queries()["hash_embeddings"](spark, str(tmp_path)).collect()} == {1, 3}
+
+
 def test_entry_without_the_training_data_operators():
     import __spark_entry__ as e
 
