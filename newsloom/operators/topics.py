@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,17 +96,42 @@ def topic_info(rows: DataFrame, topic: str, words: DataFrame, text: str, order:
     return g.join(words, topic, "left").withColumn("name", F.concat_ws("_", F.col(topic).cast("string"), F.slice("words", 1, 4)))
 
 
+#: Vectors in a cell: any two cells meet in one task.
+CELL = 2000
+
+
+def _linked(least: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Of all vectors given, links of each to the first of its component: no more rows than vectors, however many are alike."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        m = np.array(rows["__v"].tolist(), np.float64)
+        close, label = m @ m.T >= least, np.arange(len(m))
+        while True:
+            low = np.minimum(label, np.where(close, label, len(m)).min(axis=1))
+            low = low[low]
+            if (low == label).all():
+                break
+            label = low
+        node = rows["node"].to_numpy()
+        out = pd.DataFrame({"u": node, "v": node[label]})
+        return out[out["u"] != out["v"]]
+
+    return run
+
+
 def density_topics(rows: DataFrame, key: str, vector: str, scratch: Scratch, least: float = 0.8, min_size: int = 5, block_col: str | None = None) -> DataFrame:
     """Default clusterer: connected components at a cosine threshold within blocks, of min_size or more; others are -1.
 
-    Blocks bound what is compared; without a given block, vectors meet where the signs of their first six values agree.
+    All vectors of a block, or all if no block is given, are compared with each other: cell by cell, n^2 products in all.
     Topics are numbered by the hash order of their least key, so equal input gives equal labels.
     """
-    signs = F.expr("aggregate(transform(slice(__v, 1, 6), x -> if(x > 0, 1, 0)), 0, (a, x) -> a * 2 + x)")
-    v = rows.select(F.col(key).cast("long").alias("key"), unit(vector).alias("__v"), *([F.col(block_col).alias("block")] if block_col else []))
-    v = v if block_col else v.withColumn("block", signs)
-    pairs = v.alias("x").join(v.alias("y"), F.col("x.block") == F.col("y.block")).where(F.col("x.key") < F.col("y.key")).where(dot(F.col("x.__v"), F.col("y.__v")) >= least).select(F.xxhash64("x.key").alias("u"), F.xxhash64("y.key").alias("v"))
-    links = scratch.keep(pairs, "density")
+    v = rows.select(F.col(key).cast("long").alias("key"), unit(vector).alias("__v"), (F.col(block_col) if block_col else F.lit(0)).alias("block"))
+    known = v.where("key is not null and __v is not null and block is not null").select("block", F.size("__v").alias("size"), "__v", F.xxhash64("key").alias("node"))
+    cells = max(1, -(-known.count() // CELL))
+    cell = F.pmod(F.col("node"), F.lit(cells))
+    other = F.explode(F.sequence(F.lit(0), F.lit(cells - 1)) if cells == 1 else F.filter(F.sequence(F.lit(0), F.lit(cells - 1)), lambda o: o != cell))
+    met = known.withColumn("other", other).withColumn("i", F.least(cell, "other")).withColumn("j", F.greatest(cell, "other"))
+    links = scratch.keep(met.groupBy("block", "size", "i", "j").applyInPandas(_linked(least), "u long, v long"), "density")
     if links.isEmpty():
         return v.select(F.col("key").alias(key), F.lit(-1).cast("long").alias("topic_id"))
     labels = contract(links, scratch)

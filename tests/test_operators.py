@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +93,26 @@ def test_density_topics(spark):
     assert got[9] == -1 and got[1] == got[2] == got[3] == got[4] != -1
 
 
+@pytest.mark.parametrize("cell", [2000, 30])
+def test_density_topics_against_brute_force(spark, monkeypatch, cell):
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((12, 8)) * 0.3
+    x = np.concatenate([c + 0.12 * rng.standard_normal((12, 8)) for c in centres] + [rng.standard_normal((20, 8)), np.repeat(centres[:1], 9, axis=0)])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    close = unit @ unit.T >= 0.8
+    assert (close & ((unit[:, None, :6] > 0) != (unit[None, :, :6] > 0)).any(-1)).any()
+    root = np.arange(len(x))
+    for i, j in np.argwhere(close):
+        root[root == root[i]] = root[j]
+    monkeypatch.setattr(topics, "CELL", cell)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(900, None), (901, [0.0] * 8), (902, [1.0, 2.0])], "k long, v array<double>")
+    found = topics.density_topics(rows, "k", "v", Scratch(spark, "t"))
+    got = {r["k"]: r["topic_id"] for r in found.collect()}
+    assert got[900] == got[901] == got[902] == -1 and len(got) == len(x) + 3
+    groups = lambda label: {frozenset(k for k in range(len(x)) if label(k) == c) for c in set(map(label, range(len(x)))) if c != -1}
+    assert groups(got.get) == {g for g in groups(lambda k: int(root[k])) if len(g) >= 5}
+
+
 def test_cluster_ids_are_stable(spark):
     rows = spark.createDataFrame([("a", 0, "e1"), ("a", 1, None), ("b", 2, None)], "c string, o int, e string")
     got = {r["o"]: r["cluster_id"] for r in buckets.with_cluster_id(rows, "c", "o", "e").collect()}
