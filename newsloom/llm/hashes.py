@@ -43,3 +43,15 @@ def window_hashes(codes: np.ndarray, n: int) -> np.ndarray:
     for j in range(size):
         h = spread(h * _ODD + codes[j : len(codes) - size + 1 + j])
     return h
+
+
+def long_window_hashes(codes: np.ndarray, n: int) -> np.ndarray:
+    """A hash for each window of n words, n of 2 or more, by doubling; none if there are fewer words."""
+    if len(codes) < n:
+        return codes[:0]
+    h, size = codes, 1
+    while size < n:
+        step = min(size, n - size)
+        h = spread(spread(h[: len(h) - step]) * _ODD + h[step:])
+        size += step
+    return h

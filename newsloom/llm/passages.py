@@ -4,7 +4,12 @@ Seeds are winnowed word k-mers: any ``K + WINDOW - 1`` equal words hold one.  A
 of them to two homes, the smallest and the largest id that have it, so the work is linear in the seeds however often a
 passage was copied.  Matches of a document with a home are chained by a Fenwick tree over the home's positions, at a cost
 for gaps; chains that could reach ``MIN_WORDS`` are aligned word by word and extended at both ends, over insertions,
-deletions and replacements.  A passage counts if it has ``MIN_WORDS`` words or more and ``IDENTITY`` of them match.
+deletions and replacements.
+
+A round over equal words does without seeds' homes: documents that have the same ``MIN_WORDS`` words in a row are led to the
+smallest id that has them (that one to the largest), and such a match can't fail.  So every run of ``MIN_WORDS`` or more equal
+words of two documents is found for both, whoever shares parts of it.  Only passages with changes hang on the homes of seeds.
+A passage counts if it has ``MIN_WORDS`` words or more and ``IDENTITY`` of them match.
 
 Defined results: null, empty and short texts have no passage; rows with a null id can't be named and are passed over; rows
 with the same id are one document, of which one row is aligned; passages within one document don't count; words are runs
@@ -21,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, fold_bytes, raw_texts
-from .hashes import spread, window_hashes, word_codes
+from .hashes import long_window_hashes, spread, window_hashes, word_codes
 
 K, WINDOW = 6, 8
 MIN_WORDS, IDENTITY = 50, 0.8
@@ -169,6 +174,45 @@ def _longs(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=[x.split()[0] for x in schema.split(", ")])
 
 
+def _equal_rows(docs: DataFrame, wanted) -> DataFrame:
+    """All windows of MIN_WORDS words whose seeds the filter lets through, as any window of two documents must."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        bits = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).view(bool)
+        for b in batches:
+            out = []
+            for id_, raw in zip(b.column("id").to_pylist(), raw_texts(b, "text"), strict=True):
+                codes = word_codes(raw)
+                if len(codes) < MIN_WORDS:
+                    continue
+                h = window_hashes(codes, K)
+                least = np.lib.stride_tricks.sliding_window_view(h, WINDOW).argmin(axis=1) + np.arange(len(h) - WINDOW + 1)
+                misses = np.concatenate(([0], np.cumsum(~bits[_slot(h, SEED_BITS)][least])))
+                inside = MIN_WORDS - K - WINDOW + 2  # choices of seeds that see nothing outside the window
+                at = np.flatnonzero(misses[inside:] == misses[:-inside])
+                if len(at):
+                    out.append((long_window_hashes(codes, MIN_WORDS)[at].view(np.int64), np.full(len(at), id_, np.int64), at))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["seed", "id", "pos"])
+
+    return docs.mapInArrow(run, "seed long, id long, pos long")
+
+
+def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    """Windows that follow each other in both documents, as one."""
+    got = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
+    if not got:
+        return
+    id_, home, pos, hpos = (np.concatenate(x) for x in zip(*got, strict=True))
+    by = np.lexsort((pos, hpos - pos, home, id_))
+    id_, home, pos, hpos = id_[by], home[by], pos[by], hpos[by]
+    new = (id_[1:] != id_[:-1]) | (home[1:] != home[:-1]) | (hpos[1:] - pos[1:] != hpos[:-1] - pos[:-1]) | (pos[1:] > pos[:-1] + 1)
+    first = np.flatnonzero(np.concatenate(([True], new)))
+    last = np.concatenate((first[1:], [len(id_)])) - 1
+    rows = (id_[first], home[first], pos[first], pos[last] + MIN_WORDS, hpos[first], hpos[last] + MIN_WORDS)
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=[x.split()[0] for x in _CHAIN.split(", ")])
+
+
 def _words(docs: DataFrame, wanted) -> DataFrame:
     """32-bit word hashes of the documents that the filter lets through."""
 
@@ -229,6 +273,22 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
             yield _longs(out, _PASSAGE)
 
 
+def _outermost(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    """Without passages that lie in another one of the same documents on both sides."""
+    got = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
+    if not got:
+        return
+    id_, s, e, home, hs, he, m = (np.concatenate(x) for x in zip(*got, strict=True))
+    by = np.lexsort((-he, hs, -e, s, home, id_))
+    id_, s, e, home, hs, he, m = (x[by] for x in (id_, s, e, home, hs, he, m))
+    first = np.flatnonzero(np.concatenate(([True], (id_[1:] != id_[:-1]) | (home[1:] != home[:-1]))))
+    keep = np.ones(len(id_), bool)
+    for f, t in zip(first.tolist(), [*first[1:].tolist(), len(id_)], strict=True):
+        for i in range(f + 1, t):
+            keep[i] = not ((e[f:i] >= e[i]) & (hs[f:i] <= hs[i]) & (he[f:i] >= he[i])).any()
+    yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (id_, s, e, home, hs, he, m)], names=[x.split()[0] for x in _PASSAGE.split(", ")])
+
+
 def find(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per passage and home: id, start, end (words), home, home_start, home_end, matched."""
     df = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
@@ -241,7 +301,15 @@ def find(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col:
         return empty
     homes = F.filter(F.array(F.struct(F.col("lo").alias("home"), F.col("lo_pos").alias("hpos")), F.struct(F.col("hi").alias("home"), F.col("hi_pos").alias("hpos"))), lambda h: h["home"] != F.col("id"))
     matches = _seed_rows(df, wanted).join(shared, "seed").select("id", "pos", F.inline(homes))
-    found = scratch.keep(matches.select("id", "home", "pos", "hpos").repartition("id", "home").mapInArrow(_chain_rows, _CHAIN), "chains")
+    chained = matches.select("id", "home", "pos", "hpos").repartition("id", "home").mapInArrow(_chain_rows, _CHAIN)
+    windows = scratch.keep(_equal_rows(df, wanted), "windows")
+    place = F.struct("id", "pos")
+    same = windows.groupBy("seed").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min_by("pos", place).alias("lo_pos"), F.max_by("pos", place).alias("hi_pos")).where("lo < hi")
+    first = F.col("id") == F.col("lo")
+    led = windows.join(same, "seed").select("id", F.when(first, F.col("hi")).otherwise(F.col("lo")).alias("home"), "pos", F.when(first, F.col("hi_pos")).otherwise(F.col("lo_pos")).alias("hpos"))
+    runs = scratch.keep(led.repartition("id", "home").mapInArrow(_run_rows, _CHAIN), "runs")
+    scratch.drop("windows")
+    found = scratch.keep(chained.union(runs), "chains")
     involved = _filter_of(found.select("id", "home"), DOC_BITS, scratch)
     if involved is None:
         return empty
@@ -256,4 +324,4 @@ def find(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col:
     h_at, h = part("hs", "he", "home_words")
     one = found.join(words, "id").select("id", "home", "s", "hs", "he", a_at.alias("a_at"), a.alias("a"))
     both = one.join(words.select(F.col("id").alias("home"), F.col("words").alias("home_words")), "home").select("id", "home", "s", "hs", "a_at", h_at.alias("h_at"), "a", h.alias("h"))
-    return both.mapInArrow(_align, _PASSAGE).distinct()
+    return both.mapInArrow(_align, _PASSAGE).repartition("id", "home").mapInArrow(_outermost, _PASSAGE)

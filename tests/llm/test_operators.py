@@ -356,6 +356,28 @@ def test_passages(spark):
     assert passages.find(d.where("false"), Scratch(spark, "t")).count() == 0
 
 
+def test_passages_whose_seeds_lead_elsewhere(spark):
+    """5 and 6 share 90 words; 1, 2, 8 and 9 have most of them, but no passage; 10 has an early phrase of its home twice."""
+    rng = random.Random(7)
+    noise = lambda n: [f"n{rng.randrange(10**6)}" for _ in range(n)]
+    both = [f"s{i}" for i in range(90)]
+    texts = {i: noise(30) + part + noise(30) for i, part in {1: both[:48], 8: both[:48], 2: both[42:], 9: both[42:], 5: both, 6: both}.items()}
+    least = [f"t{i}" for i in range(50)]
+    texts |= {3: noise(9) + least[20:45] + noise(60) + least + noise(9), 10: noise(17) + least + noise(3)}
+    texts |= {0: noise(9) + least[:49], 11: least[1:] + noise(9)}
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = {(r["id"], r["home"]): r for r in passages.find(d, Scratch(spark, "t")).collect()}
+    assert {(5, 6), (6, 5), (3, 10), (10, 3)} <= set(found) and {i for i, _ in found} == {3, 5, 6, 10}
+    r = found[5, 6]
+    assert texts[5][r["start"] : r["end"]] == both == texts[6][r["home_start"] : r["home_end"]] and r["matched"] == 90
+
+
+def test_passages_within_passages_go():
+    rows = [(1, 0, 200, 2, 0, 200, 190), (1, 10, 70, 2, 10, 70, 60), (1, 10, 70, 2, 150, 210, 60), (1, 10, 70, 3, 10, 70, 60), (1, 0, 200, 2, 0, 200, 190)]
+    (got,) = passages._outermost(iter([passages._longs(rows, passages._PASSAGE)]))
+    assert sorted(tuple(r.values()) for r in got.to_pylist()) == [rows[0], rows[2], rows[3]]
+
+
 def test_fenwick_chains():
     tree = passages.Fenwick(5)
     for i, v in ((3, 2.0), (1, 5.0), (4, 9.0)):
