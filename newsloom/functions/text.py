@@ -1,10 +1,9 @@
-"""Text scalars: Columns in, Columns out, all inside the JVM but for person names."""
+"""Text scalars: Columns in, Columns out, all inside the JVM."""
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -165,15 +164,20 @@ def keyword_label(topic: Column | str, words: Column | str) -> Column:
     return F.when(_c(topic) == -1, "OUTLIER").otherwise(F.coalesce(F.array_join(_c(words), " | "), F.lit("")))
 
 
+def _code(x: Column, kind: str) -> Column:
+    """The code of a participant: companies have a stockCode, the others that or a code."""
+    return non_empty(x["stockCode"]) if kind == "companies" else F.coalesce(non_empty(x["stockCode"]), non_empty(x["code"]))
+
+
 def participant_tokens(c: Column | str) -> Column:
     """Distinct tokens of companies, industries and concepts: a code and a name each, where there is one."""
     p = _c(c)
 
-    def tokens(items: Column, code: str, name: str) -> Column:
-        made = F.transform(items, lambda x: F.array(F.when(safe_str(x["code"]) != "", F.concat(F.lit(f"{code}:"), safe_str(x["code"]))), F.when(safe_str(x["name"]) != "", F.concat(F.lit(f"{name}:"), safe_str(x["name"])))))
+    def tokens(kind: str, code: str, name: str) -> Column:
+        made = F.transform(p[kind], lambda x: F.array(F.concat(F.lit(f"{code}:"), _code(x, kind)), F.concat(F.lit(f"{name}:"), non_empty(x["name"]))))
         return F.coalesce(F.flatten(made), F.array().cast("array<string>"))
 
-    every = F.concat(tokens(p["companies"], "C", "CNAME"), tokens(p["industries"], "I", "INAME"), tokens(p["concepts"], "K", "KNAME"))
+    every = F.concat(tokens("companies", "C", "CNAME"), tokens("industries", "I", "INAME"), tokens("concepts", "K", "KNAME"))
     return F.array_distinct(F.filter(every, lambda x: x.isNotNull()))
 
 
@@ -187,8 +191,11 @@ def embed_text(kind: Column, trigger: Column, action: Column, sentiment: Column,
 def anchor(c: Column | str) -> Column:
     """The first company code, else the first concept code, else the first industry code, else __NONE__."""
     p = _c(c)
-    first = [F.concat(F.lit(f"{k}:"), F.get(F.filter(F.transform(p[f], lambda x: safe_str(x["code"])), lambda x: x != ""), 0)) for k, f in (("C", "companies"), ("K", "concepts"), ("I", "industries"))]
-    return F.coalesce(*first, F.lit("__NONE__"))
+
+    def first(kind: str, code: str) -> Column:
+        return F.concat(F.lit(f"{code}:"), F.get(F.filter(F.transform(p[kind], lambda x: _code(x, kind)), lambda x: x.isNotNull()), 0))
+
+    return F.coalesce(first("companies", "C"), first("concepts", "K"), first("industries", "I"), F.lit("__NONE__"))
 
 
 def has_forbidden_word(c: Column | str) -> Column:
@@ -200,27 +207,43 @@ def bad_value(c: Column | str, allowed: tuple[str, ...]) -> Column:
     return _c(c).isNotNull() & ~_c(c).isin(*allowed)
 
 
-def _persons(text: str | None) -> list[dict]:
-    found: dict[tuple, dict] = {}
-    hits = 0
-    for m in re.finditer(TITLES, text or ""):
-        near = text[max(0, m.start() - 6) : m.end() + 10]
-        name = re.search(r"([\u4e00-\u9fff]{2,4})" + re.escape(m[0]), near)
-        if name:
-            hits += 1
-            found.setdefault((name[1], m[0]), {"name": name[1], "title": m[0], "evidence": near})
-            if hits == 10:
-                break
-    return list(found.values())
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with the value's name in it, so that the value is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running totals of an array by doubling steps, n log n in all; combine(x, earlier) must take a null for earlier."""
+    steps = lambda v: F.filter(F.array(*(F.lit(1 << b) for b in range(30))), lambda s: s < F.size(v))
+    return let(values, lambda v: F.aggregate(steps(v), v, lambda acc, s: F.transform(acc, lambda x, i: combine(x, F.get(acc, i - s)))))
+
+
+def matches(text: Column, pattern: str, before: int) -> Column:
+    """All matches as array<struct<start,end,value,before>>: offsets in code points, and so much of what stands between the last match and this one."""
+    pieces = F.transform(F.split(text, pattern, -1), lambda x: F.struct(F.length(x).cast("long").alias("n"), F.right(x, F.lit(before)).alias("before")))
+    both = F.arrays_zip(pieces.alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value"))
+    size = lambda x: F.coalesce(F.length(x["value"]), F.lit(0)).cast("long")
+
+    def placed(parts: Column) -> Column:
+        ends = running(F.transform(parts, lambda x: x["gap"]["n"] + size(x)), lambda x, y: x + F.coalesce(y, F.lit(0).cast("long")))
+        made = let(ends, lambda e: F.transform(parts, lambda x, i: F.struct((F.get(e, i) - size(x)).alias("start"), F.get(e, i).alias("end"), x["value"].alias("value"), x["gap"]["before"].alias("before"))))
+        return F.filter(made, lambda x: x["value"].isNotNull())
 
+    return let(both, placed)
 
-def persons_by_title(c: Column | str) -> Column:
-    """Names of two to four Chinese characters right before a title; distinct, of the first ten hits."""
 
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(_persons)
+def persons_by_title(c: Column | str, most: int = 10) -> Column:
+    """Names of two to four Chinese characters right before a title that stands near; distinct, of the first so many hits.
 
-    return F.pandas_udf(run, "array<struct<name:string,title:string,evidence:string>>")(_c(c))
+    Near a title is what stands up to 6 characters before and 10 after it; the name is the first there before that title.
+    """
+    text = F.coalesce(_c(c), F.lit(""))
+    near = lambda x: F.substring(text, F.greatest(x["start"] - 6, F.lit(0)).cast("int") + 1, (x["end"] + 10 - F.greatest(x["start"] - 6, F.lit(0))).cast("int"))
+    seen = F.transform(matches(text, TITLES, 0), lambda x: F.struct(x["value"].alias("title"), near(x).alias("evidence")))
+    named = F.transform(seen, lambda x: F.struct(F.get(F.regexp_extract_all(x["evidence"], F.concat(F.lit("([\u4e00-\u9fff]{2,4})"), x["title"]), F.lit(1)), F.lit(0)).alias("name"), x["title"].alias("title"), x["evidence"].alias("evidence")))
+    first = F.slice(F.filter(named, lambda x: x["name"].isNotNull()), 1, most)
+    key = lambda x: F.struct(x["name"], x["title"])
+    return F.filter(first, lambda x, i: F.array_position(F.transform(first, key), key(x)) == i + 1)
 
 
 # ---- prompts, in our own words ----

@@ -30,6 +30,20 @@ def clusters(rows: DataFrame, key: str, vector: str, bucket: Column, scratch: Sc
     return found.select(key, F.when(F.col("topic_id") == -1, F.concat(F.lit("row:"), F.col(key).cast("string"))).otherwise(F.concat(F.lit("c:"), F.col("topic_id").cast("string"))).alias("cluster"))
 
 
+def components(rows: DataFrame, bucket: str, label: str, key: str) -> DataFrame:
+    """Adds component: rows of a bucket with the same label share one; noise (-1 or no label) is a component of its own."""
+    own = F.concat(F.lit("row:"), F.col(key).cast("string"))
+    return rows.withColumn("component", F.when(F.coalesce(F.col(label), F.lit(-1)) == -1, own).otherwise(F.concat_ws(":", F.lit("c"), F.col(bucket).cast("string"), F.col(label).cast("string"))))
+
+
+def statistics(rows: DataFrame, *bucket: str, component: str = "component", least: int = MIN_BUCKET) -> DataFrame:
+    """One row on a run: events, buckets, those clustered and those too small, unions made, and clusters."""
+    per = rows.groupBy(*bucket).agg(F.count("*").alias("n"))
+    shape = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_events"), F.count("*").alias("n_buckets"), F.count_if(F.col("n") >= least).alias("processed_buckets"), F.count_if(F.col("n") < least).alias("skipped_small_buckets"))
+    found = rows.groupBy(component).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("total_unions"), F.count("*").alias("n_global_clusters"))
+    return shape.crossJoin(F.broadcast(found))  # one row each
+
+
 def cluster_id(seed: Column, size: Column) -> Column:
     """First 12 hexadecimal digits of the SHA-1 of ``seed|size``; equal seeds and sizes are one cluster."""
     return t.sha1_prefix(F.concat_ws("|", seed.cast("string"), size.cast("string")))

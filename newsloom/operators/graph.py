@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from .select import numbered
 
 MIN_COOC, MIN_NPMI = 2, 0.05
+#: Edges that one task may get for the search for communities.
+MOST_EDGES = 500_000
 
 
 def news_industries(mapped: DataFrame, explicit: DataFrame) -> DataFrame:
@@ -16,6 +19,20 @@ def news_industries(mapped: DataFrame, explicit: DataFrame) -> DataFrame:
     return mapped.select("news_id", "industry").union(explicit.select("news_id", "industry")).where("news_id is not null and industry is not null").distinct()
 
 
+def entity_rows(events: DataFrame, kinds: tuple[str, ...] = ("company", "industry")) -> DataFrame:
+    """Events of the entity types that the graph has; concepts are left out."""
+    return events.where(F.col("etype").isin(*kinds))
+
+
+def typed_contexts(**members: DataFrame) -> DataFrame:
+    """All contexts of several kinds of topics (topic_id, item), each kind by its name: ids of different kinds stay apart."""
+    parts = [df.select(F.lit(kind).alias("topic_type"), "topic_id", "item") for kind, df in members.items()]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    return every.withColumn("context", F.concat_ws(":", "topic_type", F.col("topic_id").cast("string")))
+
+
 def contexts(members: DataFrame, context: str, item: str) -> DataFrame:
     """Distinct (context, item) of contexts with two items or more."""
     d = members.select(F.col(context).alias("context"), F.col(item).alias("item")).where("context is not null and item is not null").distinct()
@@ -36,6 +53,22 @@ def npmi(ctx: DataFrame) -> DataFrame:
     return p.select("a", "b", "cooc", F.try_divide(pmi, -F.log(F.col("cooc") / F.col("n"))).alias("npmi"))
 
 
+def sorted_edges(edges: DataFrame, scratch) -> DataFrame:
+    """Edges with their place by npmi and count, the greatest first, then by names; unknown npmi comes last."""
+    keyed = edges.withColumn("__n", F.coalesce(-F.round("npmi", 12), F.lit(9.0))).withColumn("__c", -F.col("cooc"))
+    return numbered(keyed, ["__n", "__c", "a", "b"], "place", scratch).drop("__n", "__c")
+
+
+def co_occur(edges: DataFrame, evidence_rows: DataFrame) -> DataFrame:
+    """One table of CO_OCCUR edges a -> b: npmi, count, and the ids and titles that speak for them."""
+    return edges.select("a", "b", "cooc", "npmi").join(evidence_rows.select("a", "b", "n_news", "news_ids", "titles"), ["a", "b"], "left")
+
+
+def write_communities(nodes: DataFrame, key: str, found: DataFrame) -> DataFrame:
+    """Nodes with the community and its size; nodes in none keep nulls.  found: item, community, community_size."""
+    return nodes.drop("community", "community_size").join(found.select(F.col("item").alias(key), "community", "community_size"), key, "left")
+
+
 def strong(edges: DataFrame, cooc: int = MIN_COOC, least: float = MIN_NPMI) -> DataFrame:
     return edges.where((F.col("cooc") >= cooc) & (F.col("npmi") >= least))
 
@@ -47,12 +80,12 @@ def evidence(ctx: DataFrame, news: DataFrame, titles: DataFrame, *, ids: int = 5
     """
     pairs = ctx.alias("x").join(ctx.alias("y"), F.col("x.context") == F.col("y.context")).where("x.item < y.item").select(F.col("x.context").alias("context"), F.col("x.item").alias("a"), F.col("y.item").alias("b"))
     linked = pairs.join(news, "context").select("a", "b", F.col("news_id").cast("string").alias("news_id")).distinct()
+    count = linked.groupBy("a", "b").agg(F.count("*").alias("n_news"))
     w = Window.partitionBy("a", "b").orderBy("news_id")
-    ranked = linked.withColumn("rn", F.row_number().over(w)).withColumn("n_news", F.count("*").over(Window.partitionBy("a", "b")))
-    first = ranked.where(F.col("rn") <= ids)
+    first = linked.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= ids)  # the limit also holds before the shuffle
     named = first.join(titles.select(F.col("news_id").cast("string").alias("news_id"), t.non_empty("title").alias("title")), "news_id", "left")
     arr = F.array_sort(F.collect_list(F.struct("rn", "news_id", "title")))
-    g = named.groupBy("a", "b").agg(F.max("n_news").alias("n_news"), arr.alias("all"))
+    g = named.groupBy("a", "b").agg(arr.alias("all")).join(count, ["a", "b"])
     shown = F.slice(F.filter(F.col("all"), lambda x: (x["rn"] <= look) & x["title"].isNotNull()), 1, show)
     return g.select("a", "b", "n_news", F.array_join(F.transform("all", lambda x: x["news_id"]), ",").alias("news_ids"), F.array_join(F.transform(shown, lambda x: x["title"]), " || ").alias("titles"))
 
@@ -92,7 +125,12 @@ def greedy_communities(edges: list[tuple[str, str, float]]) -> dict[str, int]:
 
 
 def communities(edges: DataFrame, weight: str = "npmi") -> DataFrame:
-    """item, community, community_size.  The nodes are industries, of which there are a bounded number, so one task does it."""
+    """item, community, community_size.  The nodes are industries, of which there are a bounded number, so one task does it.
+
+    More than ``MOST_EDGES`` edges raise ValueError: they are more than one task should get.
+    """
+    if edges.limit(MOST_EDGES + 1).count() > MOST_EDGES:
+        raise ValueError(f"more than {MOST_EDGES} edges; raise the thresholds of strong()")
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         found = greedy_communities(list(zip(f["a"], f["b"], f["w"].astype(float), strict=True)))

@@ -72,12 +72,15 @@ def normalize_industry(surfaces: DataFrame, surface: str, standard: DataFrame, n
 def dictionary_hits(texts: DataFrame, id_col: str, text: str, names: DataFrame, name: str, order: str, most: int = 20) -> DataFrame:
     """id, hits: the first so many names, in dictionary order, that the text contains.
 
-    Names are found by their first two characters among the text's bigrams, then by containment.
+    A text gives what stands at each of its places, as far as the longest name goes; names are joined to it by their first
+    two characters, and what stands there must begin with the name.  No row has the whole text.
     """
     n = names.select(F.col(name).alias("name"), F.col(order).alias("ord")).where("name is not null and length(name) >= 2").withColumn("key", F.left("name", F.lit(2)))
-    k = texts.select(id_col, F.col(text).alias("text"), F.explode(F.array_distinct(bigrams(F.col(text)))).alias("key"))
-    hit = k.join(small(n), "key").where(F.contains("text", "name")).select(id_col, "name", "ord")
-    one = texts.select(id_col, F.col(text).alias("text"), F.explode(F.array_distinct(F.split(F.col(text), ""))).alias("name")).join(small(names.select(F.col(name).alias("name"), F.col(order).alias("ord")).where("length(name) = 1")), "name").select(id_col, "name", "ord")
+    longest = n.agg(F.max(F.length("name"))).first()[0] or 2
+    here = F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{2,{longest}}}))"), F.lit(1))
+    k = texts.select(id_col, F.explode(F.array_distinct(here)).alias("here")).withColumn("key", F.left("here", F.lit(2)))
+    hit = k.join(small(n), "key").where(F.startswith("here", "name")).select(id_col, "name", "ord").distinct()
+    one = texts.select(id_col, F.explode(F.array_distinct(F.split(F.col(text), ""))).alias("name")).join(small(names.select(F.col(name).alias("name"), F.col(order).alias("ord")).where("length(name) = 1")), "name").select(id_col, "name", "ord")
     ranked = hit.union(one).withColumn("rn", F.row_number().over(Window.partitionBy(id_col).orderBy("ord"))).where(F.col("rn") <= most)
     return ranked.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "name"))), lambda x: x["name"]).alias("hits"))
 

@@ -19,11 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..sources import readers
+from .select import numbered
 
 #: Texts in one embedding request, tries, and base of the waits between them (fixed values).
 EMBED_BATCH, EMBED_TRIES, EMBED_WAIT = 10, 5, 2.0
-#: Tries and wait of naming calls; rows in a batch of them (fixed values).
-CHAT_TRIES, CHAT_WAIT, CHAT_BATCH = 3, 1.2, 10
+#: Tries and wait of naming calls; rows in a batch of them, and the pause after it (fixed values).
+CHAT_TRIES, CHAT_WAIT, CHAT_BATCH, CHAT_PAUSE = 3, 1.2, 10, 5.0
 #: Relevance of entities by where they come from (fixed values).
 RELEVANCE = {"exact": 0.9, "mapped": 0.8, "person": 0.5, "model_person": 0.4}
 
@@ -64,6 +66,24 @@ class StubChat:
         return json.dumps({"name": prompt.strip().rsplit("\n", 1)[-1].lstrip("- ")[:20], "confidence": 0.5, "why": "offline"}, ensure_ascii=False)
 
 
+class ScriptedChat:
+    """Offline answers from a script: that of the first part found in the prompt, or the default; the first calls may fail."""
+
+    def __init__(self, script: dict[str, str], default: str = "{}", failures: int = 0):
+        self.script, self.default, self.failures, self.calls = script, default, failures, Counter()
+
+    def ask(self, prompt: str) -> str:
+        self.calls[prompt] += 1
+        if self.calls[prompt] <= self.failures:
+            raise OSError("no answer")
+        return next((answer for part, answer in self.script.items() if part in prompt), self.default)
+
+
+def from_settings(told: dict[str, str | None]) -> Chat:
+    """The chat endpoint of the settings, or the offline one."""
+    return HttpChat(told["chat_url"], told.get("chat_key") or "") if told.get("chat_url") else StubChat()
+
+
 class HttpChat:
     """A chat endpoint: errors come back as {"error": ...} unless they are to be raised."""
 
@@ -133,21 +153,56 @@ def ask(df: DataFrame, prompt: str, chat: Chat, out: str = "answer", tries: int
     return df.mapInPandas(run, f"{fields}, `{out}` string")
 
 
-def name_topics(topics: DataFrame, chat: Chat, cache: DataFrame, version: str = "1") -> tuple[DataFrame, DataFrame]:
-    """Topics with main_event_name, confidence and why, and the new rows of the cache.
+_NAME = "name string, confidence double, why string"
+
+
+def _keyed(topics: DataFrame, version: str) -> DataFrame:
+    return topics.withColumn("key", t.cache_key(version, keywords=F.coalesce("keywords", F.lit("")), summaries=F.col("summaries")))
+
+
+def _pending(keyed: DataFrame, cache: DataFrame) -> DataFrame:
+    """key, prompt of what the cache doesn't know, once each."""
+    blank = (F.coalesce("keywords", F.lit("")) == "") & (F.size("summaries") <= 0)
+    misses = keyed.where(~blank).join(cache.select("key"), "key", "left_anti").dropDuplicates(["key"])
+    return misses.select("key", t.naming_prompt(F.col("keywords"), F.col("summaries")).alias("prompt"))
+
+
+def _answered(pending: DataFrame, chat: Chat) -> DataFrame:
+    """New rows of the cache; answers that can't be read give none."""
+    parsed = ask(pending, "prompt", chat).select("key", F.from_json(t.repair_json(t.answer_text("answer"), objects_only=True), _NAME).alias("a"))
+    return parsed.where("a.name is not null").select("key", "a.*")
+
+
+def _named(keyed: DataFrame, names: list[str], known: DataFrame) -> DataFrame:
+    return keyed.join(known.select("key", "name", "confidence", "why"), "key", "left").select(*names, F.coalesce("name", F.lit("")).alias("main_event_name"), F.col("confidence").alias("main_event_confidence"), F.coalesce("why", F.lit("")).alias("main_event_why"))
+
+
+def name_topics(topics: DataFrame, chat: Chat, cache: DataFrame, scratch, version: str = "1") -> tuple[DataFrame, DataFrame]:
+    """Topics with main_event_name, confidence and why, and the new rows of the cache, which are written, so asked for once.
 
     topics: topic_id, keywords (text), summaries (array); cache: key, name, confidence, why.  What the cache knows isn't asked
     again; answers that can't be read aren't put into it.  Rows without keywords and summaries keep empty names.
     """
-    keyed = topics.withColumn("key", t.cache_key(version, keywords=F.coalesce("keywords", F.lit("")), summaries=F.col("summaries")))
-    blank = (F.coalesce("keywords", F.lit("")) == "") & (F.size("summaries") <= 0)
-    misses = keyed.where(~blank).join(cache.select("key"), "key", "left_anti").dropDuplicates(["key"]).withColumn("prompt", t.naming_prompt(F.col("keywords"), F.col("summaries")))
-    answers = ask(misses.select("key", "prompt"), "prompt", chat)
-    parsed = answers.select("key", F.from_json(t.repair_json(t.answer_text("answer"), objects_only=True), "name string, confidence double, why string").alias("a"))
-    new = parsed.where("a.name is not null").select("key", "a.*")
-    known = cache.select("key", "name", "confidence", "why").unionByName(new)
-    named = keyed.join(known, "key", "left").select(*topics.columns, F.coalesce("name", F.lit("")).alias("main_event_name"), F.col("confidence").alias("main_event_confidence"), F.coalesce("why", F.lit("")).alias("main_event_why"))
-    return named, new
+    keyed = _keyed(topics, version)
+    new = scratch.keep(_answered(_pending(keyed, cache), chat), "answers")
+    return _named(keyed, topics.columns, cache.select("key", "name", "confidence", "why").unionByName(new)), new
+
+
+def name_in_batches(topics: DataFrame, chat: Chat, cache_path: str, scratch, *, version: str = "1", tasks: int = 1, pause: float = CHAT_PAUSE, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """As name_topics, in rounds of CHAT_BATCH rows a task, with a pause between them; each round's answers are added to the
+    cache at cache_path before the next one starts, so that a run that was stopped goes on where it was."""
+    spark = topics.sparkSession
+    schema = f"key string, {_NAME}"
+    known = lambda: spark.read.schema(schema).parquet(cache_path) if readers.exists(spark, cache_path) else spark.createDataFrame([], schema)
+    keyed = _keyed(topics, version)
+    pending = scratch.keep(numbered(_pending(keyed, known()), ["key"], "n", scratch), "pending")
+    total, size = pending.count(), CHAT_BATCH * tasks
+    for start in range(0, total, size):
+        part = pending.where((F.col("n") > start) & (F.col("n") <= start + size)).drop("n").repartition(tasks)
+        _answered(part, chat).write.mode("append").parquet(cache_path)
+        if start + size < total:
+            sleep(pause)
+    return _named(keyed, topics.columns, known())
 
 
 def extract(news: DataFrame, chat: Chat, link: Callable[[DataFrame], DataFrame]) -> DataFrame:

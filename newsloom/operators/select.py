@@ -30,13 +30,6 @@ def source_of(media: Column, url: Column) -> Column:
     return F.when(media.contains("123456") & url.contains("eastmoney"), "eastmoney").otherwise(F.when(F.lower(media) != "nan", media).otherwise(""))
 
 
-def generated_id(order: Column | list[Column], base: int = 118, start: int = 1500, partition: Column | None = None) -> Column:
-    """base_(start + n) in the given order.  Numbering all rows is a global order: give a partition where one will do."""
-    order = order if isinstance(order, list) else [order]
-    w = Window.partitionBy(partition if partition is not None else F.lit(0)).orderBy(*order)
-    return F.format_string("%d_%d", F.lit(base), F.row_number().over(w) + F.lit(start))
-
-
 def event_time(time: Column, news_time: Column) -> Column:
     """The news' time where the event has none or an unfilled one."""
     return F.when(time.isNull() | (time == "") | time.contains("YYYY"), news_time).otherwise(time)

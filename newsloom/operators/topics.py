@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..sources.scratch import Scratch
 from .components import contract
+from .select import numbered
 
 
 def ordered(value: Column | str, *order: str) -> Column:
@@ -26,6 +27,11 @@ def aggregate(rows: DataFrame, topic: str, id_col: str, summary: str, order: str
     return d.groupBy(F.col(topic).alias("topic_id")).agg(ordered(F.col(id_col).cast("string"), order).alias("ids"), ordered(summary, order).alias("summaries"), F.count("*").alias("topic_size"))
 
 
+def by_size(topics: DataFrame, scratch: Scratch) -> DataFrame:
+    """Topics with their place: the largest first, then by topic."""
+    return numbered(topics.withColumn("__s", -F.col("topic_size")), ["__s", "topic_id"], "place", scratch).drop("__s")
+
+
 def ids_text(c: Column | str = "ids") -> Column:
     return F.array_join(c, ", ")
 
@@ -41,7 +47,7 @@ def dot(a: Column, b: Column) -> Column:
 def unit(v: Column | str) -> Column:
     """The vector divided by its length (plus 1e-12)."""
     c = F.col(v) if isinstance(v, str) else v
-    return F.transform(c, lambda x: x.cast("double") / (F.sqrt(dot(c, c)) + F.lit(1e-12)))
+    return t.let(F.sqrt(dot(c, c)) + F.lit(1e-12), lambda n: F.transform(c, lambda x: x.cast("double") / n))
 
 
 def centroid(rows: DataFrame, topic: str, vector: str) -> DataFrame:
@@ -123,7 +129,7 @@ def density_topics(rows: DataFrame, key: str, vector: str, scratch: Scratch, lea
     """Default clusterer: connected components at a cosine threshold within blocks, of min_size or more; others are -1.
 
     All vectors of a block, or all if no block is given, are compared with each other: cell by cell, n^2 products in all.
-    Topics are numbered by the hash order of their least key, so equal input gives equal labels.
+    A topic is named by its least key, so equal input gives equal labels.
     """
     v = rows.select(F.col(key).cast("long").alias("key"), unit(vector).alias("__v"), (F.col(block_col) if block_col else F.lit(0)).alias("block"))
     known = v.where("key is not null and __v is not null and block is not null").select("block", F.size("__v").alias("size"), "__v", F.xxhash64("key").alias("node"))
@@ -135,9 +141,9 @@ def density_topics(rows: DataFrame, key: str, vector: str, scratch: Scratch, lea
     if links.isEmpty():
         return v.select(F.col("key").alias(key), F.lit(-1).cast("long").alias("topic_id"))
     labels = contract(links, scratch)
-    big = labels.groupBy("comp").agg(F.count("*").alias("n")).where(F.col("n") >= min_size)
-    out = v.select("key").join(labels.join(big, "comp").select("node", "comp"), F.xxhash64("key") == F.col("node"), "left")
-    return out.select(F.col("key").alias(key), F.coalesce("comp", F.lit(-1)).alias("topic_id"))
+    keyed = v.select("key").join(labels, F.xxhash64("key") == F.col("node"), "left")
+    big = keyed.where("comp is not null").groupBy("comp").agg(F.count("*").alias("n"), F.min("key").alias("least")).where(F.col("n") >= min_size)
+    return keyed.join(big, "comp", "left").select(F.col("key").alias(key), F.coalesce("least", F.lit(-1).cast("long")).alias("topic_id"))
 
 
 def report_topics(topics: DataFrame, members: DataFrame, texts: DataFrame, *, most_texts: int = 25, most_ids: int = 50) -> DataFrame:

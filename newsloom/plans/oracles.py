@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..functions.text import COMPANY_SUFFIXES, FORBIDDEN_WORDS
 from ..operators.select import DEFAULTS, NOISE, PLACEHOLDER
+from . import exchange
 
 #: White space as Spark's (?U)\s has it, for a RE2 class.
 _WS = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -25,6 +26,9 @@ def _company(c: str) -> str:
 
 _CTX = """ctx AS (SELECT context, item FROM (SELECT DISTINCT l_orderkey AS context, p_brand AS item FROM lineitem JOIN part ON l_partkey = p_partkey)
   QUALIFY count(*) OVER (PARTITION BY context) >= 2)"""
+_NPMI = """n AS (SELECT count(DISTINCT context) AS n FROM ctx), s AS (SELECT item, count(*) AS c FROM ctx GROUP BY 1),
+p AS (SELECT x.item AS a, y.item AS b, count(*) AS cooc FROM ctx x JOIN ctx y ON x.context = y.context AND x.item < y.item GROUP BY ALL),
+e AS (SELECT a, b, cooc, ln(cooc * n / (sa.c * sb.c)) / nullif(-ln(cooc / n), 0) AS npmi FROM p JOIN s sa ON a = sa.item JOIN s sb ON b = sb.item, n WHERE cooc < n)"""
 _TOPIC = "tr AS (SELECT vec_id, label - 1 AS topic_id, embedding, 'summary ' || (vec_id % 7) AS summary FROM embeddings)"
 
 _SQL = {
@@ -83,7 +87,10 @@ rows AS (
   UNION ALL SELECT NewsID, 1, k, surface, etype, code, '2024-01-01', '提及', '{PLACEHOLDER}' FROM ent WHERE k > 0),
 n AS (SELECT *, row_number() OVER (PARTITION BY NewsID ORDER BY phase, o) AS n FROM rows)
 SELECT NewsID, 'E_auto_' || NewsID || CASE phase WHEN 0 THEN '_' ELSE '_fallback_' END || n AS event_ID, surface, etype, code AS stockCode, event_time, "trigger", event_summary, '{DEFAULTS["sentiment"]}' AS sentiment FROM n""",
-    "fallback_events": f"""SELECT c_custkey, '{DEFAULTS["trigger"]}' AS "trigger", '{PLACEHOLDER}' AS event_summary FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')""",
+    "fallback_events": f"""
+WITH e AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, l_returnflag) - 1 AS event_pos FROM lineitem)
+SELECT l_orderkey AS NewsID, event_pos, l_returnflag AS surface, 'company' AS etype, CAST(l_suppkey AS VARCHAR) AS stockCode, '2024-01-01' AS event_time, '{DEFAULTS["trigger"]}' AS "trigger", '{PLACEHOLDER}' AS event_summary
+FROM e WHERE NOT EXISTS (SELECT 1 FROM lineitem u WHERE u.l_orderkey = e.l_orderkey AND u.l_returnflag = e.l_returnflag AND u.l_linestatus = 'O')""",
     "nested_news": "SELECT l_orderkey AS NewsID, string_agg(l_returnflag, ', ' ORDER BY l_linenumber, l_returnflag) AS target_subject, count(*) AS n_events FROM lineitem GROUP BY 1",
     "explode_ids": "SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, CAST(l_partkey AS VARCHAR)) - 1 AS pos, CAST(l_partkey AS VARCHAR) AS news_id FROM lineitem",
     "distinct_pairs": "SELECT conv_id, role, min(turn) AS turn FROM conversations GROUP BY conv_id, role",
@@ -110,7 +117,7 @@ c AS (SELECT topic_id, list(x ORDER BY i) AS c FROM m GROUP BY 1),
 d AS (SELECT topic_id, vec_id, list_dot_product(CAST(embedding AS DOUBLE[]), c) / (sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) * sqrt(list_dot_product(c, c)) + 1e-12) AS cos FROM tr JOIN c USING (topic_id))
 SELECT topic_id, vec_id, round(cos, 6) AS cosine FROM d QUALIFY row_number() OVER (PARTITION BY topic_id ORDER BY round(cos, 9) DESC, vec_id) = 1""",
     "unit_vectors": """
-WITH v AS (SELECT vec_id, [CAST(x * CAST(3 AS FLOAT) AS DOUBLE) FOR x IN embedding] AS v FROM embeddings), n AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) + 1e-12 AS n FROM v)
+WITH v AS (SELECT vec_id, [CAST(x AS DOUBLE) * 3 FOR x IN embedding] AS v FROM embeddings), n AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) + 1e-12 AS n FROM v)
 SELECT vec_id, round(list_dot_product(v, v) / (n * n), 6) AS norm2, round(v[1] / n, 6) AS u0 FROM n""",
     "topic_keywords": r"""
 WITH k AS (SELECT source, unnest(regexp_extract_all(lower("text"), '[\p{L}\p{N}\p{M}_]{2,}')) AS word FROM documents),
@@ -158,8 +165,48 @@ WITH f AS (SELECT o_custkey AS id, arg_min(o_orderpriority, o_orderkey) AS title
 SELECT * FROM f UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT id FROM f)""",
     "news_industries": """
 SELECT DISTINCT news_id, industry FROM (SELECT l_orderkey AS news_id, CAST(s_nationkey AS VARCHAR) AS industry FROM lineitem JOIN supplier ON l_suppkey = s_suppkey UNION ALL SELECT l_orderkey, l_returnflag FROM lineitem)""",
+    "person_rule": """
+SELECT doc_id, CASE WHEN quality = 1 THEN '[{"name":"公司","title":"董事长"},{"name":"王小明","title":"总经理"}]' ELSE '[{"name":"李雷","title":"CEO"}]' END AS persons FROM documents JOIN labels USING (doc_id)""",
+    "prompts": """
+SELECT doc_id, md5('List the companies, concepts and industries that this news names, as JSON with keys companies, concepts, industries, each a list of {surface}.' || chr(10) || 'Title: ' || source || chr(10) || 'Text: ' || "text") AS extract_md5,
+  md5('Name the main event of this group of news, as JSON with name, confidence and why.' || chr(10) || 'Keywords: ' || lang || chr(10) || 'Summaries:' || chr(10) || '- ' || lang || chr(10) || '- ' || source) AS naming_md5,
+  md5('List the persons and organisations named in this text, as JSON with keys companies and persons.' || chr(10) || "text") AS surface_md5 FROM documents""",
+    "topic_names": f"""
+WITH {_TOPIC}, a AS (SELECT topic_id, arg_max(summary, k) AS last FROM (SELECT topic_id, summary, min(vec_id) AS k FROM tr GROUP BY ALL) GROUP BY topic_id)
+SELECT topic_id, last AS main_event_name, CAST(0.5 AS DOUBLE) AS main_event_confidence, 'offline' AS main_event_why FROM a""",
+    "hash_embeddings": """SELECT doc_id, 'hash-64' AS embedding_model, CAST(64 AS INT) AS embedding_dim, CAST(1 AS DOUBLE) AS norm2 FROM documents WHERE trim("text") <> ''""",
+    "density_topics": """
+WITH RECURSIVE u AS (SELECT vec_id, sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) + 1e-12 AS n, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.vec_id <> y.vec_id AND list_dot_product(x.e, y.e) / (x.n * y.n) >= 0.8),
+r AS (SELECT vec_id AS a, vec_id AS b FROM u UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS comp, count(*) AS n FROM r GROUP BY a)
+SELECT a AS vec_id, CASE WHEN n >= 5 THEN comp ELSE -1 END AS topic_id FROM c""",
+    "entity_types": "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'company' ELSE 'industry' END AS etype FROM documents WHERE doc_id % 3 < 2",
+    "typed_contexts": """
+WITH m AS (SELECT 'micro:' || (l_orderkey % 40) AS context, l_suppkey AS item FROM lineitem UNION SELECT 'macro:' || (l_orderkey % 8), l_suppkey FROM lineitem)
+SELECT context, item FROM m QUALIFY count(*) OVER (PARTITION BY context) >= 2""",
+    "strong_edges": f"""WITH {_CTX}, {_NPMI} SELECT a, b, cooc FROM e WHERE cooc >= 2 AND npmi >= 0.05""",
+    "sorted_edges": f"""WITH {_CTX}, {_NPMI} SELECT a, b, cooc, row_number() OVER (ORDER BY round(npmi, 12) DESC, cooc DESC, a, b) AS place FROM e WHERE cooc >= 2 AND npmi >= -1""",
+    "community_nodes": """
+SELECT n_name, n_regionkey, n_regionkey < 3 AS has, CASE WHEN n_regionkey < 3 THEN count(*) OVER (PARTITION BY n_regionkey) END AS community_size FROM nation""",
+    "bucket_components": """
+SELECT event_id, CASE WHEN event_id % 11 = 0 OR user_id % 7 = 0 THEN 'row:' || event_id ELSE 'c:' || event_type || ':' || (user_id % 7 - 1) END AS component FROM events""",
+    "run_statistics": """
+WITH e AS (SELECT event_id, event_type || '|' || strftime(ts, '%Y-%m-%d-%H') AS bucket, user_id FROM events),
+b AS (SELECT bucket, count(*) AS n FROM e GROUP BY 1), c AS (SELECT count(DISTINCT CASE WHEN user_id % 5 = 0 THEN 'row:' || event_id ELSE bucket || ':' || (user_id % 7) END) AS n FROM e)
+SELECT CAST(sum(b.n) AS BIGINT) AS n_events, count(*) AS n_buckets, count(*) FILTER (b.n >= 3) AS processed_buckets, count(*) FILTER (b.n < 3) AS skipped_small_buckets, CAST(sum(b.n) - any_value(c.n) AS BIGINT) AS total_unions, any_value(c.n) AS n_global_clusters FROM b, c""",
+    "full_name_match": """
+WITH w AS (SELECT DISTINCT substr(u.w, 1, 3) AS name FROM documents, unnest(regexp_extract_all("text", '[a-z]{3,}')) AS u(w)),
+h AS (SELECT doc_id, name FROM documents JOIN w ON contains("text", name) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY name) <= 30)
+SELECT doc_id, string_agg(name, ',' ORDER BY name) AS hits FROM h GROUP BY doc_id""",
+    "topics_by_size": f"WITH {_TOPIC}, a AS (SELECT topic_id, count(*) AS topic_size FROM tr WHERE topic_id <> -1 GROUP BY 1) SELECT *, row_number() OVER (ORDER BY topic_size DESC, topic_id) AS place FROM a",
+    "top_level": f"""
+SELECT user_id AS NewsID, CASE WHEN min(event_id) % 3 <> 0 THEN arg_min(event_type, event_id) ELSE '{DEFAULTS["scope"]}' END AS scope, CASE WHEN min(event_id) % 2 <> 0 THEN arg_min(event_type, event_id) ELSE '{DEFAULTS["depth"]}' END AS depth, '{DEFAULTS["novelty"]}' AS novelty FROM events GROUP BY user_id""",
 }
 
 
+_SQL["co_occur_edges"] = f"""SELECT a, b, cooc, npmi, n_news, news_ids, titles FROM ({_SQL["npmi_edges"]}) JOIN ({_SQL["edge_evidence"]}) USING (a, b)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(_SQL) | exchange.oracle_sql()

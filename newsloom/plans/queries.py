@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..operators import buckets, events, graph, linking, providers, select, similar, topics
 from ..sources.scratch import Scratch
+from . import exchange
 
+#: Queries by name.
 _all: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -20,19 +22,13 @@ def query(f):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_all)
+    return dict(_all) | exchange.queries()
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def _docs(spark: SparkSession, d: str) -> DataFrame:
-    """Documents as news: a time by id, the source as media, and the first 40 characters as title."""
-    n = _t(spark, d, "documents")
-    return n.withColumn("publish_time", F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(doc_id as int), 0)")).withColumn("title", F.substring("text", 1, 40))
-
-
 def _ntz(c: str):
     return F.col(c).cast("timestamp_ntz")
 
@@ -169,22 +165,22 @@ def labels_text(spark, d):
 @query
 def embed_texts(spark, d):
     p = _t(spark, d, "part")
-    one = lambda c, n: F.array(F.struct(c.alias("code"), n.alias("name")))
-    parts = F.struct(one(F.when(F.col("p_size") % 2 == 0, F.col("p_partkey").cast("string")), F.col("p_brand")).alias("companies"), one(F.lit(None).cast("string"), F.col("p_type")).alias("industries"), one(F.when(F.col("p_size") % 3 == 0, F.lit("k")), F.lit("")).alias("concepts"))
+    one = lambda c, n, s=None: F.array(F.struct(F.lit(None).cast("string").alias("stockCode") if s is None else s.alias("stockCode"), c.alias("code"), n.alias("name")))
+    parts = F.struct(one(F.lit("no code of a company"), F.col("p_brand"), F.when(F.col("p_size") % 2 == 0, F.col("p_partkey").cast("string"))).alias("companies"), one(F.lit(None).cast("string"), F.col("p_type")).alias("industries"), one(F.when(F.col("p_size") % 3 == 0, F.lit("k")), F.lit("")).alias("concepts"))
     p = p.withColumn("participants", parts)
     return p.select("p_partkey", t.embed_text(F.col("p_brand"), F.lit(""), F.col("p_type"), F.when(F.col("p_size") > 25, "+"), t.participant_tokens("participants")).alias("embed_text"), t.anchor("participants").alias("anchor"))
 
 
 @query
 def person_rule(spark, d):
-    n = _t(spark, d, "labels").select("doc_id", F.when(F.col("quality") == 1, F.lit("公司董事长，王小明总经理表示")).otherwise(F.lit("李雷CEO称")).alias("text"))
-    return n.select("doc_id", F.to_json(t.persons_by_title("text")).alias("persons"))
+    n = _t(spark, d, "documents").join(_t(spark, d, "labels"), "doc_id").select("doc_id", F.concat(F.col("text"), F.when(F.col("quality") == 1, F.lit(" 公司董事长，王小明总经理表示 ")).otherwise(F.lit(" 李雷CEO称 "))).alias("text"))
+    return n.select("doc_id", F.to_json(F.transform(t.persons_by_title("text"), lambda p: F.struct(p["name"].alias("name"), p["title"].alias("title")))).alias("persons"))
 
 
 @query
 def prompts(spark, d):
-    n = _docs(spark, d)
-    return n.select("doc_id", F.length(t.extraction_prompt(F.col("title"), F.col("text"))).alias("extract_len"), F.length(t.naming_prompt(F.col("lang"), F.array("title", "source"))).alias("naming_len"))
+    n = _t(spark, d, "documents")
+    return n.select("doc_id", F.md5(t.extraction_prompt(F.col("source"), F.col("text"))).alias("extract_md5"), F.md5(t.naming_prompt(F.col("lang"), F.array("lang", "source"))).alias("naming_md5"), F.md5(t.surface_prompt(F.col("text"))).alias("surface_md5"))
 
 
 # ---- nested events ----
@@ -214,9 +210,12 @@ def event_assembly(spark, d):
 
 @query
 def fallback_events(spark, d):
-    o = _t(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("surface")).distinct()
-    c = _t(spark, d, "customer")
-    return c.join(o, c["c_custkey"] == o["surface"], "left_anti").select("c_custkey", F.lit(select.DEFAULTS["trigger"]).alias("trigger"), F.lit(select.PLACEHOLDER).alias("event_summary"))
+    none = F.lit(None).cast("string")
+    entity = F.struct(F.lit("company").alias("etype"), F.col("l_returnflag").alias("surface"), F.col("l_suppkey").cast("string").alias("stockCode"), none.alias("conceptCode"), none.alias("industryCode"))
+    l = _t(spark, d, "lineitem")
+    news = l.groupBy(F.col("l_orderkey").alias("NewsID")).agg(topics.ordered(entity, "l_linenumber", "l_suppkey").alias("entities")).withColumn("news_time", F.lit("2024-01-01"))
+    used = l.where("l_linestatus = 'O'").select(F.col("l_orderkey").alias("NewsID"), F.col("l_returnflag").alias("surface"))
+    return events.fallback_events(news, used).select("NewsID", F.col("event_pos").cast("long").alias("event_pos"), "surface", "etype", "stockCode", "event_time", "trigger", "event_summary")
 
 
 @query
@@ -225,6 +224,14 @@ def nested_news(spark, d):
     return events.nest(l, "surface").select("NewsID", events.target_subject(F.col("events")).alias("target_subject"), F.size("events").cast("long").alias("n_events"))
 
 
+@query
+def top_level(spark, d):
+    field = lambda c, k: F.when(F.col("event_id") % k != 0, F.col(c)).alias
+    e = _t(spark, d, "events").select(F.col("user_id").alias("NewsID"), F.col("event_id").alias("n"), field("event_type", 3)("scope"), field("event_type", 2)("depth"), F.lit(None).cast("string").alias("novelty"))
+    nested = events.nest(e, "scope", "depth", "novelty")
+    return nested.select("NewsID", *(c.alias(k) for k, c in events.top_level(F.col("events")).items()))
+
+
 @query
 def explode_ids(spark, d):
     a = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.concat(F.array_join(topics.ordered(F.col("l_partkey").cast("string"), "l_linenumber"), " , "), F.lit(", nan,")).alias("ids"))
@@ -283,6 +290,14 @@ def fuzzy_link(spark, d):
     return linking.link_names(m, "surface", "ord", c, "full_name").select("surface", "full_name", F.round("score", 6).alias("score"))
 
 
+@query
+def full_name_match(spark, d):
+    """Two-letter beginnings of words as names, so that texts contain more than are kept."""
+    words = _t(spark, d, "documents").select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[a-z]{3,}"), F.lit(0)))).alias("w")).select(F.left("w", F.lit(3)).alias("name")).distinct()
+    h = linking.dictionary_hits(_t(spark, d, "documents"), "doc_id", "text", words.withColumn("ord", F.col("name")), "name", "ord", most=30)
+    return h.select("doc_id", F.array_join("hits", ",").alias("hits"))
+
+
 # ---- topics ----
 
 
@@ -296,6 +311,12 @@ def topic_aggregate(spark, d):
     return a.select("topic_id", "topic_size", topics.ids_text().alias("ids"), F.md5(topics.summaries_text()).alias("summaries_md5"))
 
 
+@query
+def topics_by_size(spark, d):
+    a = topics.aggregate(_topic_rows(spark, d), "topic_id", "vec_id", "summary", "vec_id")
+    return topics.by_size(a, Scratch(spark, "sizes")).select("topic_id", "topic_size", "place")
+
+
 @query
 def topic_centroid_pick(spark, d):
     return topics.nearest_to_centroid(_topic_rows(spark, d), "topic_id", "embedding", "vec_id").select("topic_id", "vec_id", F.round("cosine", 6).alias("cosine"))
@@ -303,7 +324,7 @@ def topic_centroid_pick(spark, d):
 
 @query
 def unit_vectors(spark, d):
-    e = _t(spark, d, "embeddings").select("vec_id", topics.unit(F.transform("embedding", lambda x: x * 3)).alias("u"))
+    e = _t(spark, d, "embeddings").select("vec_id", topics.unit(F.transform("embedding", lambda x: x.cast("double") * 3)).alias("u"))
     return e.select("vec_id", F.round(topics.dot(F.col("u"), F.col("u")), 6).alias("norm2"), F.round(F.get("u", F.lit(0)), 6).alias("u0"))
 
 
@@ -345,7 +366,7 @@ def density_topics(spark, d):
 @query
 def anchor_buckets(spark, d):
     e = _t(spark, d, "events").withColumn("date", F.date_format("ts", "yyyy-MM-dd")).withColumn("high_level_type", F.when(F.col("event_type") == "click", None).otherwise(F.col("event_type")))
-    one = lambda c: F.array(F.struct(c.alias("code"), F.lit("").alias("name")))
+    one = lambda c: F.array(F.struct(c.alias("stockCode"), F.lit(None).cast("string").alias("code"), F.lit("").alias("name")))
     e = e.withColumn("participants", F.struct(one(F.when(F.col("user_id") % 2 == 0, (F.col("user_id") % 10).cast("string"))).alias("companies"), one(F.when(F.col("user_id") % 3 == 0, "k")).alias("concepts"), one(F.lit(None).cast("string")).alias("industries")))
     b = buckets.big_enough(buckets.bucketed(e, F.col("date")), "high_type", "time_bucket", "anchor")
     return b.groupBy("high_type", "time_bucket", "anchor").agg(F.count("*").alias("n"), F.min("event_id").alias("first_id"))
@@ -358,6 +379,19 @@ def cluster_summary(spark, d):
     return s.select("cluster_id", "size", "first_date", "last_date", F.array_join("news_ids", ",").alias("news_ids"), "trigger_norm", "high_level_type", "core_action_norm")
 
 
+@query
+def bucket_components(spark, d):
+    e = _t(spark, d, "events").select("event_id", "event_type", F.when(F.col("event_id") % 11 == 0, None).otherwise(F.col("user_id") % 7 - 1).alias("label"))
+    return buckets.components(e, "event_type", "label", "event_id").select("event_id", "component")
+
+
+@query
+def run_statistics(spark, d):
+    e = _t(spark, d, "events").withColumn("label", F.when(F.col("user_id") % 5 == 0, -1).otherwise(F.col("user_id") % 7)).withColumn("day", F.date_format("ts", "yyyy-MM-dd-HH"))
+    e = buckets.components(e.withColumn("bucket", F.concat_ws("|", "event_type", "day")), "bucket", "label", "event_id")
+    return buckets.statistics(e, "event_type", "day")
+
+
 # ---- graph ----
 
 
@@ -424,12 +458,58 @@ def news_industries(spark, d):
     return graph.news_industries(mapped, explicit)
 
 
+@query
+def entity_types(spark, d):
+    n = _t(spark, d, "documents").select("doc_id", F.element_at(F.array(*map(F.lit, ("company", "industry", "concept"))), (F.col("doc_id") % 3 + 1).cast("int")).alias("etype"))
+    return graph.entity_rows(n)
+
+
+@query
+def typed_contexts(spark, d):
+    l = _t(spark, d, "lineitem")
+    micro = l.select((F.col("l_orderkey") % 40).alias("topic_id"), F.col("l_suppkey").alias("item"))
+    macro = l.select((F.col("l_orderkey") % 8).alias("topic_id"), F.col("l_suppkey").alias("item"))
+    every = graph.typed_contexts(micro=micro, macro=macro)
+    return graph.contexts(every, "context", "item")
+
+
+def _edges(spark, d):
+    return graph.strong(graph.npmi(_contexts(spark, d)), 2, -1.0)
+
+
+@query
+def strong_edges(spark, d):
+    return graph.strong(graph.npmi(_contexts(spark, d))).select("a", "b", "cooc")
+
+
+@query
+def sorted_edges(spark, d):
+    return graph.sorted_edges(_edges(spark, d), Scratch(spark, "edges")).select("a", "b", "cooc", "place")
+
+
+@query
+def co_occur_edges(spark, d):
+    c = _contexts(spark, d)
+    news = _t(spark, d, "orders").select(F.col("o_orderkey").alias("context"), F.col("o_custkey").alias("news_id"))
+    titles = _t(spark, d, "customer").select(F.col("c_custkey").alias("news_id"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_name")).alias("title"))
+    e = graph.co_occur(_edges(spark, d), graph.evidence(c, news, titles))
+    return e.select("a", "b", "cooc", F.round("npmi", 6).alias("npmi"), "n_news", "news_ids", "titles")
+
+
+@query
+def community_nodes(spark, d):
+    """Three cliques of nations, one a region, and regions of their own without an edge."""
+    n = _t(spark, d, "nation")
+    e = n.alias("x").join(n.alias("y"), F.col("x.n_regionkey") == F.col("y.n_regionkey")).where("x.n_name < y.n_name and x.n_regionkey < 3").select(F.col("x.n_name").alias("a"), F.col("y.n_name").alias("b"), F.lit(1.0).alias("npmi"))
+    return graph.write_communities(n.select("n_name", "n_regionkey"), "n_name", graph.communities(e)).select("n_name", "n_regionkey", F.col("community").isNotNull().alias("has"), "community_size")
+
+
 # ---- providers ----
 
 
 @query
 def hash_embeddings(spark, d):
-    n = providers.embed(_docs(spark, d).select("doc_id", F.col("text").alias("event_summary")), "event_summary", providers.HashEmbedder())
+    n = providers.embed(_t(spark, d, "documents").select("doc_id", F.col("text").alias("event_summary")), "event_summary", providers.HashEmbedder())
     return n.select("doc_id", "embedding_model", "embedding_dim", F.round(topics.dot(F.col("embedding"), F.col("embedding")), 4).alias("norm2"))
 
 
@@ -437,5 +517,5 @@ def hash_embeddings(spark, d):
 def topic_names(spark, d):
     a = topics.aggregate(_topic_rows(spark, d), "topic_id", "vec_id", "summary", "vec_id", outliers=True).select("topic_id", F.format_string("k%d", "topic_id").alias("keywords"), F.array_distinct("summaries").alias("summaries"))
     cache = spark.createDataFrame([], "key string, name string, confidence double, why string")
-    named, _ = providers.name_topics(a, providers.StubChat(), cache)
+    named, _ = providers.name_topics(a, providers.StubChat(), cache, Scratch(spark, "names"))
     return named.select("topic_id", "main_event_name", "main_event_confidence", "main_event_why")

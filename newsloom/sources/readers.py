@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
 import os
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import xlsx
+
 #: Raw news columns and their names here (fixed values).
 RAW_COLUMNS = {"F4000": "news_id", "F4001": "title", "F4003": "publish_time", "F4004": "source", "F4020": "content", "F4022": "news_type", "F4023": "source_id", "F4024": "media", "F4025": "source_category", "F4026": "url", "F4027": "summary"}
 
@@ -16,7 +20,6 @@ EVENT = T.StructType([T.StructField(n, T.StringType()) for n in ("event_ID", "et
 NEWS = T.StructType([*(T.StructField(n, T.StringType()) for n in ("NewsID", "timestamp", "title", "source", "scope", "depth", "novelty", "summary", "target_subject")), T.StructField("events", T.ArrayType(EVENT))])
 PAIRS = T.StructType([T.StructField("NewsID", T.StringType()), T.StructField("event_summary", T.StringType())])
 VECTORS = T.StructType([*PAIRS.fields, T.StructField("embedding_model", T.StringType()), T.StructField("embedding_dim", T.IntegerType()), T.StructField("embedding", T.ArrayType(T.FloatType()))])
-_PARTS = "array<struct<code:string,name:string>>"
 
 
 def require(df: DataFrame, *columns: str) -> DataFrame:
@@ -65,15 +68,22 @@ def dictionary(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     return csv_strings(spark, path, *columns).withColumn("row_no", F.monotonically_increasing_id())
 
 
-def excel(spark: SparkSession, path: str, sheet: str | int = 0) -> DataFrame:
-    """One sheet, if a reader for it is installed; the canonical form of a table here is Parquet or CSV."""
-    try:
-        import openpyxl  # noqa: F401
-    except ImportError as e:
-        raise NotImplementedError("reading .xlsx needs openpyxl; convert the sheet to CSV or Parquet") from e
-    import pandas as pd
+def excel(spark: SparkSession, path: str, sheet: int = 1) -> DataFrame:
+    """One sheet of each workbook, numbered from 1, all columns as strings; a workbook's rows are bounded by the format.
+
+    The columns are those of the first row of the first workbook; workbooks are read by executors, through Spark's own source.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    first = files.orderBy("path").limit(1).mapInPandas(lambda frames: (pd.DataFrame({"row": [next(xlsx.rows(c, sheet), [])]}) for f in frames for c in f["content"]), "row array<string>").collect()
+    names = [(n or "").lstrip("﻿") or f"column{i + 1}" for i, n in enumerate(first[0]["row"])] if first else []
 
-    return spark.createDataFrame(pd.read_excel(path, sheet_name=sheet, dtype=str).fillna(""))
+    def run(frames: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        for f in frames:
+            for content in f["content"]:
+                for part in xlsx.blocks(itertools.islice(xlsx.rows(content, sheet), 1, None), len(names)):
+                    yield pd.DataFrame(part, columns=names)
+
+    return files.mapInPandas(run, T.StructType([T.StructField(n, T.StringType()) for n in names]))
 
 
 def table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
@@ -96,26 +106,37 @@ def json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def json_envelope(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A JSON array, or an object with the array under ``data``; the first rows must have the first field."""
+    """A JSON array, or an object with the array under ``data``; each of the first rows must have every field."""
     whole = spark.read.schema(T.StructType([*schema.fields, T.StructField("data", T.ArrayType(schema))])).option("multiLine", True).json(path)
     bare = whole.where("data is null").select(*schema.names)
     df = whole.where("data is not null").select(F.inline("data")).unionByName(bare)
-    head = df.limit(5).collect()
-    if head and all(r[0] is None for r in head):
-        raise ValueError(f"no field {schema.names[0]} in the first rows")
+    for r in df.limit(5).collect():
+        if missing := [n for n in schema.names if r[n] is None]:
+            raise ValueError(f"missing fields in the first rows: {', '.join(missing)}")
     return df
 
 
 def canonicals(spark: SparkSession, path: str) -> DataFrame:
-    """Canonical events, a row each with its NewsID, from a JSON array or from JSON lines; bad lines are skipped."""
-    parts = f"struct<companies:{_PARTS},concepts:{_PARTS},industries:{_PARTS}>"
-    event = f"struct<canonical_event_id:string,date:string,high_level_type:string,trigger_norm:string,core_action_norm:string,sentiment_coarse:string,sentiment_final:string,participants:{parts}>"
-    schema = f"NewsID string, canonicals array<{event}>"
-    first = spark.read.text(path, wholetext=False).where(F.trim("value") != "").limit(1).collect()
+    """Canonical events, a row each with its NewsID, from a JSON array or from JSON lines.
+
+    Lines that are no JSON are skipped, and so is what is no list of events; neighbours stay.  Participants may be objects or
+    plain strings: industries and concepts then have only a name, companies, which count by code, are passed over.
+    """
+    first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
     lines = bool(first) and first[0][0].lstrip("﻿ ").startswith("{")
-    r = spark.read.schema(schema).option("mode", "DROPMALFORMED")
-    df = r.json(path) if lines else r.option("multiLine", True).json(path)
-    return df.where("NewsID is not null").select("NewsID", F.inline("canonicals"))
+    raw = spark.read.schema("NewsID string, canonicals array<string>").option("multiLine", not lines).json(path)  # objects come as their text
+    event = F.from_json("event", "canonical_event_id string, date string, high_level_type string, trigger_norm string, core_action_norm string, sentiment_coarse string, sentiment_final string, participants string")
+    lists = F.from_json("event.participants", "companies array<string>, concepts array<string>, industries array<string>")
+
+    def one(x):
+        made = F.from_json(x, "stockCode string, code string, name string")
+        return F.when(x.startswith("{"), made).otherwise(F.struct(F.lit(None).cast("string").alias("stockCode"), F.lit(None).cast("string").alias("code"), x.alias("name")))
+
+    rows = raw.where("NewsID is not null").select("NewsID", F.explode("canonicals").alias("event")).where(F.col("event").startswith("{"))
+    rows = rows.select("NewsID", event.alias("event")).select("NewsID", "event.*", lists.alias("__lists"))
+    companies = F.filter(F.col("__lists.companies"), lambda x: x.startswith("{"))
+    parts = F.struct(*(F.transform(c, one).alias(n) for n, c in (("companies", companies), ("concepts", F.col("__lists.concepts")), ("industries", F.col("__lists.industries")))))
+    return rows.withColumn("participants", parts).drop("__lists")
 
 
 def stop_words(spark: SparkSession, path: str) -> DataFrame:

@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a folder of the session's own only where none is set."""
+    """The shared folder that the cluster names; one of the machine's own only in local mode, where none is set."""
     told = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if told:
         return told.rstrip("/")
     got = spark.sparkContext._jsc.sc().getCheckpointDir()
     if got.isDefined():
         return str(got.get()).rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     import tempfile
 
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="newsloom-"))

@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import xlsx
+
 #: Rows that a graph connector gets at a time.
 GRAPH_BATCH = 2000
 
@@ -29,6 +31,26 @@ def parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def excel(df: DataFrame, path: str) -> None:
+    """A workbook with one sheet of text cells, in one task: more rows than a sheet can hold raise ValueError.
+
+    The bytes go through Hadoop's file system, so that any store that Spark writes to will do.
+    """
+    most = xlsx.MOST_ROWS - 1
+    names = df.columns
+    flat = df.select(*(F.array_join(c, ", ").alias(c) if t.startswith("array<") else F.col(c).cast("string").alias(c) for c, t in df.dtypes))
+    if flat.limit(most + 1).count() > most:
+        raise ValueError(f"a sheet holds {most} rows; write Parquet or CSV instead")
+    spark = df.sparkSession
+    content = xlsx.workbook(names, (list(r) for r in flat.toLocalIterator()))
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
 def sheets(path: str, **tables: DataFrame) -> None:
     """A dataset for each sheet of what was a workbook."""
     for name, df in tables.items():

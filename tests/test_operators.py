@@ -76,6 +76,29 @@ def test_near_duplicates_against_brute_force(spark):
     assert got == {0: 1, 1: 1, 2: -1, 3: -1, 4: -1, 5: -1, 6: 1}
 
 
+@pytest.mark.parametrize("least", [0.05, 0.3, 0.8])
+def test_cosine_links_against_brute_force(spark, least):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdef"), 5)) for _ in range(40)]
+    texts = [" ".join(rng.choice(words, 12)) for _ in range(40)]
+    texts += [x + " tail" for x in texts[:10]]
+    reps = spark.createDataFrame([(i, x, 1) for i, x in enumerate(texts)], "kid long, norm string, copies long")
+    got = {(min(r["u"], r["v"]), max(r["u"], r["v"])) for r in similar.links(reps, Scratch(spark, "t"), least).collect()}
+    tf = [{} for _ in texts]
+    for d, x in zip(tf, texts, strict=True):
+        for k in similar.SIZES:
+            for i in range(len(x) - k + 1):
+                d[x[i : i + k]] = d.get(x[i : i + k], 0) + 1
+    df = {}
+    for d in tf:
+        for g in d:
+            df[g] = df.get(g, 0) + 1
+    rows = [{g: n * (math.log((1 + len(texts)) / (1 + df[g])) + 1) for g, n in d.items() if df[g] <= similar.MAX_DF * len(texts)} for d in tf]
+    length = [math.sqrt(sum(x * x for x in r.values())) for r in rows]
+    want = {(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows)) if sum(x * rows[j].get(g, 0) for g, x in rows[i].items()) / length[i] / length[j] >= least}
+    assert want and got == want
+
+
 def test_all_equal_and_empty_texts(spark):
     df = spark.createDataFrame([(0, "same text")], "i long, t string")
     assert similar.near_duplicate_groups(df.where("i > 5"), "i", "t", Scratch(spark, "t")).count() == 0
@@ -127,9 +150,9 @@ def test_subjects_fall_back_to_all(spark):
 def test_namer_asks_once_and_does_not_cache_failures(spark):
     tp = spark.createDataFrame([(1, "k", ["s"]), (2, "", [])], "topic_id int, keywords string, summaries array<string>")
     cache = spark.createDataFrame([], "key string, name string, confidence double, why string")
-    named, new = providers.name_topics(tp, providers.StubChat(), cache)
+    named, new = providers.name_topics(tp, providers.StubChat(), cache, Scratch(spark, "t"))
     assert {r["topic_id"]: r["main_event_name"] for r in named.collect()} == {1: "s", 2: ""}
-    again, more = providers.name_topics(tp, providers.StubChat(), new)
+    again, more = providers.name_topics(tp, providers.StubChat(), new, Scratch(spark, "t"))
     assert more.count() == 0 and {r["topic_id"]: r["main_event_name"] for r in again.collect()} == {1: "s", 2: ""}
 
 
@@ -157,7 +180,11 @@ def test_json_sources(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"data": [{"NewsID": "1", "event_summary": "x"}]}')
     assert readers.json_envelope(spark, str(tmp_path / "a.json"), readers.PAIRS).first()["event_summary"] == "x"
     (tmp_path / "b.json").write_text('[{"NewsID": "1", "event_summary": "x"}, {"NewsID": "2"}]')
-    assert readers.json_envelope(spark, str(tmp_path / "b.json"), readers.PAIRS).count() == 2
+    with pytest.raises(ValueError, match="event_summary"):
+        readers.json_envelope(spark, str(tmp_path / "b.json"), readers.PAIRS)
+    (tmp_path / "d.json").write_text('[{"NewsID": 1, "canonicals": [{"canonical_event_id": "e", "participants": {"companies": ["x", {"stockCode": 600000}], "industries": ["银行"]}}]}, {"NewsID": 2, "canonicals": "no list"}, {"NewsID": 3, "canonicals": [{"canonical_event_id": "f", "participants": "none"}]}]')
+    got = {r["NewsID"]: r for r in readers.canonicals(spark, str(tmp_path / "d.json")).collect()}
+    assert sorted(got) == ["1", "3"] and [tuple(x) for x in got["1"]["participants"]["companies"]] == [("600000", None, None)] and [tuple(x) for x in got["1"]["participants"]["industries"]] == [(None, None, "银行")]
     (tmp_path / "c.jsonl").write_text('{"NewsID": "7", "canonicals": [{"canonical_event_id": "e"}]}\nbroken\n')
     assert [r["NewsID"] for r in readers.canonicals(spark, str(tmp_path / "c.jsonl")).collect()] == ["7"]
     (tmp_path / "s.txt").write_text("的 \n\n#x\n了\n的\n")
