@@ -29,6 +29,17 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["u", "v"])
 
 
+#: Parts that the rows of a key are dealt to where one key may have a large share of them.
+SALTS = 8
+
+
+def salted(left: DataFrame, right: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
+    """Joins on a key that may be hot on the left: its rows are dealt out by another column, and the right side is there for each part."""
+    one = left.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    many = right.withColumn("__salt", F.explode(F.array(*(F.lit(i) for i in range(SALTS)))))
+    return one.join(many, [key, "__salt"], how).drop("__salt")
+
+
 def contract(links: DataFrame, scratch) -> DataFrame:
     """Labels (node, comp) of all nodes of links (u, v): comp is one node of the component, the same for all of it.
 
@@ -43,9 +54,10 @@ def contract(links: DataFrame, scratch) -> DataFrame:
         if labels is None:
             labels = parent.select(F.col("u").alias("node"), F.col("p").alias("comp"))
         else:
-            moved = labels.join(parent, F.col("comp") == F.col("u"), "left")
+            moved = salted(labels, parent.withColumnRenamed("u", "comp"), "comp", "node", "left")
             labels = scratch.keep(moved.select("node", F.coalesce("p", "comp").alias("comp")), "labels")
-        renamed = edges.join(parent, "u").select(F.col("p").alias("a"), F.col("v").alias("u")).join(parent, "u").select(F.col("a").alias("u"), F.col("p").alias("v")).where("u <> v").distinct()
+        half = salted(edges, parent, "u", "v").select(F.col("p").alias("a"), F.col("v").alias("u"))
+        renamed = salted(half, parent, "u", "a").select(F.col("a").alias("u"), F.col("p").alias("v")).where("u <> v").distinct()
         edges = scratch.keep(renamed, "edges")
         if edges.isEmpty():
             return labels
