@@ -7,8 +7,8 @@ the first shared shingle allow it; a candidate pair is verified once, with a suf
 exact intersection.
 
 What is asked for is classes, so a pair within a class already found needs no verification.  The join goes in rounds: in
-the first rounds each prefix shingle offers its sets one centre each, which is linear in the prefixes; the last round
-offers all pairs still in different classes.  Nothing is capped: the last round is exact whatever the others found.
+the first rounds each prefix shingle offers its sets one centre each, which is linear in the prefixes, and shingles whose sets
+are in one class go; the last round offers all pairs still in different classes.  Nothing is capped: the last round is exact whatever the others found.
 
 Defined results: null, empty and wordless texts have an empty set and are linked with nothing; a text of fewer than five
 words is one shingle; a null id counts as no id: a class is named by its smallest id that isn't null, or null if it
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.components import contract
+from ..operators.components import contract, salted
 from .common import BATCH_ROWS, Scratch, fold_bytes, raw_texts
 from .hashes import spread, window_hashes, word_codes
 
@@ -42,11 +42,13 @@ _GRAM_ROWS = 50_000
 
 @contextmanager
 def batches_of(spark: SparkSession, rows: int):
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        spark.conf.set(name, before)
 
 
 def grams(raw: bytes, words: int = WORDS) -> np.ndarray:
@@ -116,20 +118,52 @@ def _columns(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray] | None:
     return [np.concatenate(x) for x in zip(*all_, strict=True)] if all_ else None
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-    """Of a range of grams, those that two sets or more have, once for each set."""
-    if (got := _columns(batches)) is None:
-        return
-    gram, kid, at = got
-    by = np.lexsort((kid, gram))
-    gram, kid, at = gram[by], kid[by], at[by]
-    new = np.concatenate(([True], (gram[1:] != gram[:-1]) | (kid[1:] != kid[:-1])))
-    gram, kid, at = gram[new], kid[new], at[new]
-    same = np.concatenate(([False], gram[1:] == gram[:-1], [False]))
-    keep = same[1:] | same[:-1]
-    for i in range(0, int(keep.sum()), _GRAM_ROWS):
-        s = slice(i, i + _GRAM_ROWS)
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep][s]) for x in (gram, kid, at)], names=["gram", "kid", "at"])
+_MET = "gram long, kid long, at long, u long, v long"
+
+
+def _met(gram: np.ndarray, kid: np.ndarray, at: np.ndarray) -> Iterable[pa.RecordBatch]:
+    """Rows for later rounds, which have no pair."""
+    for i in range(0, len(gram), _GRAM_ROWS):
+        part = [pa.array(x[i : i + _GRAM_ROWS]) for x in (gram, kid, at)]
+        none = pa.nulls(len(part[0]), pa.int64())
+        yield pa.RecordBatch.from_arrays([*part, none, none], names=["gram", "kid", "at", "u", "v"])
+
+
+def _shared(percent: int):
+    """Of a range of grams, those that two sets or more have, once for each set, and the first round's pairs: with the set
+    of each gram that came from most tasks, as copied texts do."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        if (got := _columns(batches)) is None:
+            return
+        gram, kid, at = got
+        by = np.argsort(gram)  # most grams are alone, and go before the rest is put in order
+        alike = gram[by[1:]] == gram[by[:-1]]
+        by = by[np.concatenate((alike, [False])) | np.concatenate(([False], alike))]
+        gram, kid, at = gram[by], kid[by], at[by]
+        by = np.lexsort((kid, gram))
+        gram, kid, at = gram[by], kid[by], at[by]
+        new = np.flatnonzero(np.concatenate(([True], (gram[1:] != gram[:-1]) | (kid[1:] != kid[:-1]))))
+        times = np.diff(np.concatenate((new, [len(gram)])))
+        gram, kid, at = gram[new], kid[new], at[new]
+        same = np.concatenate(([False], gram[1:] == gram[:-1], [False]))
+        keep = same[1:] | same[:-1]
+        gram, kid, at, times = gram[keep], kid[keep], at[keep], times[keep]
+        yield from _met(gram, kid, at)
+        if len(gram):
+            rank = _ranks(times, spread(kid.view(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15)))
+            yield from _centred(gram, kid, at, kid, rank, percent)
+
+    return run
+
+
+def _centred(gram: np.ndarray, kid: np.ndarray, at: np.ndarray, comp: np.ndarray, rank: np.ndarray, percent: int) -> Iterable[pa.RecordBatch]:
+    """Pairs of each set of a gram with the one of the least rank."""
+    by = np.lexsort((rank, gram))
+    gram, kid, at, comp = gram[by], kid[by], at[by], comp[by]
+    first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+    size = np.diff(np.concatenate((first, [len(gram)])))
+    yield from _pairs(kid, at, comp, np.arange(len(gram)), np.repeat(first, size), percent)
 
 
 def _may_link(at_a: np.ndarray, at_b: np.ndarray, percent: int) -> np.ndarray:
@@ -145,21 +179,26 @@ def _may_link(at_a: np.ndarray, at_b: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _offers(round_: int | None, percent: int):
-    """Candidate pairs of a range of grams, over classes: with one centre a gram, or all of them if round_ is None."""
+    """Candidate pairs of a range of grams, over classes: with one centre a gram, or all of them if round_ is None.
+
+    With a centre, the rows of grams that still have two classes or more come along for the next round.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         if (got := _columns(batches)) is None:
             return
-        gram, kid, at, comp, copies = got
-        rank = spread(kid.view(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15 * ((round_ or 0) + 1) & (2**64 - 1)))
-        if round_ == 0:  # the text that was copied most is most likely what the others are variants of
-            rank = _ranks(copies, rank)
-        by = np.lexsort((rank, gram)) if round_ is not None else np.lexsort((comp, gram))
+        gram, kid, at, comp = got
+        by = np.lexsort((comp, gram))
         gram, kid, at, comp = gram[by], kid[by], at[by], comp[by]
         first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
         size = np.diff(np.concatenate((first, [len(gram)])))
         if round_ is not None:
-            yield from _pairs(kid, at, comp, np.arange(len(gram)), np.repeat(first, size), percent)
+            open_ = np.repeat(comp[first] != comp[first + size - 1], size)
+            gram, kid, at, comp = gram[open_], kid[open_], at[open_], comp[open_]
+            yield from _met(gram, kid, at)
+            if len(gram):
+                rank = spread(kid.view(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15 * (round_ + 1) & (2**64 - 1)))
+                yield from _centred(gram, kid, at, comp, rank, percent)
             return
         # all pairs of different classes: each row with the rows of its gram behind its class
         border = np.concatenate(([True], (gram[1:] != gram[:-1]) | (comp[1:] != comp[:-1]), [True]))
@@ -181,8 +220,8 @@ def _offers(round_: int | None, percent: int):
     return run
 
 
-def _ranks(copies: np.ndarray, tie: np.ndarray) -> np.ndarray:
-    by = np.lexsort((tie, -copies))
+def _ranks(times: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    by = np.lexsort((tie, -times))
     out = np.empty(len(by), np.int64)
     out[by] = np.arange(len(by))
     return out
@@ -194,7 +233,8 @@ def _pairs(kid, at, comp, i, j, percent) -> Iterable[pa.RecordBatch]:
     if ok.any():
         x, y = kid[i[ok]], kid[j[ok]]
         pairs = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y)), 1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["u", "v"])
+        none = pa.nulls(len(pairs), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["gram", "kid", "at", "u", "v"])
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -257,53 +297,45 @@ def classes(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_c
     profile = scratch.keep(_profile(df, kind, words), "profile")
     rows = profile.where("slots is null").select("id", "kid", "n")
     counts = fold_bytes(profile, "slots", "<u4", lambda a, b: a + b)
-    sets = scratch.keep(rows.where("kid is not null").groupBy("kid").agg(F.min("id").alias("first"), F.count("*").alias("copies")), "sets")
+    sets = scratch.keep(rows.where("kid is not null").groupBy("kid").agg(F.min("id").alias("first")), "sets")
     labels = None
     if counts is not None:
         order = spark.sparkContext.broadcast(counts)
         with batches_of(spark, _GRAM_ROWS):
             texts = df.select(F.xxhash64("id").alias("id_hash"), "text")
-            prefixes = _prefixes(texts, order, words, percent)
-            shared = scratch.keep(prefixes.repartition("gram").mapInArrow(_shared, "gram long, kid long, at long"), "shared")
-            labels = _link(texts, shared, sets, scratch, words, percent)
+            met = scratch.keep(_prefixes(texts, order, words, percent).repartition("gram").mapInArrow(_shared(percent), _MET), "met")
+            labels = _link(texts, met, sets, scratch, words, percent)
     if labels is None:
         named = sets.select("kid", F.col("first").alias("component_id"))
-    else:
-        of = sets.join(labels, sets["kid"] == labels["node"], "left").select("kid", "first", F.coalesce("comp", "kid").alias("comp"))
-        least = of.groupBy("comp").agg(F.min("first").alias("component_id"))
-        named = of.join(least, "comp").select("kid", "component_id")
+    else:  # only linked sets have a class to look up
+        of = scratch.keep(sets.join(labels, sets["kid"] == labels["node"]).select("kid", "first", "comp"), "of")
+        least = of.groupBy("comp").agg(F.min("first").alias("least"))
+        linked = salted(of, least, "comp", "kid").select("kid", "least")
+        named = sets.join(linked, "kid", "left").select("kid", F.coalesce("least", "first").alias("component_id"))
     out = rows.join(named, "kid", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("kid").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _link(texts: DataFrame, shared: DataFrame, sets: DataFrame, scratch: Scratch, words: int, percent: int) -> DataFrame | None:
+def _link(texts: DataFrame, met: DataFrame, sets: DataFrame, scratch: Scratch, words: int, percent: int) -> DataFrame | None:
     """Labels (node, comp) of the sets that have links to others."""
-    spark = texts.sparkSession
     links = tried = labels = None
     for round_ in (*range(CENTRE_ROUNDS), None):
-        with_copies = shared.join(sets.select("kid", "copies"), "kid")
-        if labels is None:
-            state = with_copies.withColumn("comp", F.col("kid"))
-        else:
-            state = with_copies.join(labels, with_copies["kid"] == labels["node"], "left").withColumn("comp", F.coalesce("comp", "kid"))
-        offered = state.select("gram", "kid", "at", "comp", "copies").repartition("gram").mapInArrow(_offers(round_, percent), "u long, v long").distinct()
+        if round_ != 0:
+            shared = met.where("u is null").select("gram", "kid", "at")
+            if labels is None:
+                state = shared.withColumn("comp", F.col("kid"))
+            else:
+                state = shared.join(labels, shared["kid"] == labels["node"], "left").select("gram", "kid", "at", F.coalesce("comp", "kid").alias("comp"))
+            met = scratch.keep(state.repartition("gram").mapInArrow(_offers(round_, percent), _MET), f"met{round_}")
+            scratch.drop("met" if round_ == 1 else f"met{CENTRE_ROUNDS - 1}")
+        offered = met.where("u is not null").select("u", "v").distinct()
         if tried is not None:
             offered = offered.join(tried, ["u", "v"], "left_anti")
         pairs = scratch.keep(offered, "pairs")
         if pairs.isEmpty():
-            if round_ is None:
-                break
             continue
-        kids = pairs.select(F.explode(F.array("u", "v")).alias("kid")).distinct()
-        firsts = sets.join(kids, "kid", "left_semi").select(F.xxhash64("first").alias("id_hash"))
-        wanted = spark.sparkContext.broadcast(fold_bytes(firsts.mapInArrow(_bits, "bits binary"), "bits", "u1", np.bitwise_or, scratch).tobytes())
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-        found = scratch.keep(_sets_of(texts, wanted, words).join(kids, "kid", "left_semi"), "found")
-        one = pairs.join(found.select(F.col("kid").alias("u"), F.col("grams").alias("gu")), "u")
-        both = one.join(found.select(F.col("kid").alias("v"), F.col("grams").alias("gv")), "v")
-        verified = scratch.keep(both.select("u", "v", "gu", "gv").mapInArrow(_verify(percent), "u long, v long, linked boolean"), "verified")
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_GRAM_ROWS))
-        scratch.drop("found", "pairs")
+        verified = _verified(texts, pairs, sets, scratch, words, percent)
+        scratch.drop("pairs")
         new, seen = verified.where("linked").select("u", "v"), verified.select("u", "v")
         links, tried = (new, seen) if links is None else (links.union(new), tried.union(seen))
         if not new.isEmpty():
@@ -311,6 +343,19 @@ def _link(texts: DataFrame, shared: DataFrame, sets: DataFrame, scratch: Scratch
     return labels
 
 
+def _verified(texts: DataFrame, pairs: DataFrame, sets: DataFrame, scratch: Scratch, words: int, percent: int) -> DataFrame:
+    """The pairs and whether they link.  A set is dealt by its key once, for both of its sides of pairs, and goes with a pair once more."""
+    spark = texts.sparkSession
+    kids = pairs.select(F.explode(F.array("u", "v")).alias("kid")).distinct()
+    firsts = sets.join(kids, "kid", "left_semi").select(F.xxhash64("first").alias("id_hash"))
+    wanted = spark.sparkContext.broadcast(fold_bytes(firsts.mapInArrow(_bits, "bits binary"), "bits", "u1", np.bitwise_or, scratch).tobytes())
+    with batches_of(spark, BATCH_ROWS):
+        found = _sets_of(texts, wanted, words)
+        one = found.select(F.col("kid").alias("u"), F.col("grams").alias("gu")).join(pairs, "u")
+        both = one.join(found.select(F.col("kid").alias("v"), F.col("grams").alias("gv")), "v")
+        return scratch.keep(both.select("u", "v", "gu", "gv").mapInArrow(_verify(percent), "u long, v long, linked boolean"), "linked")
+
+
 def deduplicate(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each class, that with the smallest id, with all its columns; repeated rows of it are one.
 
