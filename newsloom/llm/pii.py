@@ -9,7 +9,8 @@ What reaches the driver is one count for each pattern of kind, votes and shape,
 size of the input; every row of the input is counted.
 
 Positions are found without Python: the pieces between matches and the matches alternate, so their running lengths are the
-offsets.  The patterns are written so that no text makes them scan a run twice: a run of an address's characters is
+offsets.  Running values are taken by doubling steps and spans are compared in order, so the work on a text with n spans
+grows with n log n.  The patterns are written so that no text makes them scan a run twice: a run of an address's characters is
 entered only at its start or where the last match ended, and repetitions are possessive wherever nothing follows them.
 
 Defined results: a null text is empty and stays null when masked; repeated rows give a row each; other columns are not
@@ -23,8 +24,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as t
+from .common import Scratch
+
 #: Kinds in the order of listing; the last two come from candidates only.
-KINDS = ("email", "ip", "card", "phone", "ssn")
+KINDS = ("email", "ip", "card", "phone", "ssn", "address")
 _LOCAL = r"[A-Za-z0-9._%+-]"
 _ENTER = rf"(?:\G|(?<!{_LOCAL}))"
 
@@ -35,12 +39,17 @@ STRICT = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Loose patterns: written-out addresses, national numbers, short card numbers, social-security shapes.
+#: What a text must have for a strict pattern to give a span that passes, where that is less than the pattern itself.
+GATES = {"email": "@", "phone": r"\+[0-9]", "card": r"(?:[0-9][\x20-]?){15}[0-9]"}
+#: Kinds of streets (fixed values).
+STREETS = "Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln|Drive|Dr|Court|Ct|Square|Sq|Terrace|Highway|Parkway"
+#: Loose patterns: written-out mail addresses, national numbers, short card numbers, social-security shapes, streets with a number.
 LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:\x20?[\[(]at[\])]\x20?|\x20at\x20)[A-Za-z0-9-]++(?:(?:\x20?[\[(]dot[\])]\x20?|\x20dot\x20)[A-Za-z0-9-]++)++",
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,14}(?![\x20-]?[0-9])",
     "phone": r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "address": rf"(?<![0-9.,-])[0-9]{{1,5}}(?:\x20[A-Z][a-z]{{1,20}}){{1,3}}\x20(?:{STREETS})\b",
 }
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
@@ -52,30 +61,23 @@ CUES = {
     "card": "card|visa|mastercard|amex|credit|debit|karte|carte|tarjeta|pan",
     "phone": "phone|tel|call|fax|mobile|cell|whatsapp|telefon|telephone|movil",
     "ssn": "ssn|social security|social-security|tax id|sozialversicherung",
+    "address": "address|live|lives|living|resident|residence|home|located|ship|deliver|mailing|adresse",
 }
 COUNTER_CUES = "version|isbn|issn|order|invoice|part|page|ref|serial|build|section|figure|table"
-#: Code points before a span in which a cue counts.
+#: Code points before a span, back to the last match of its pattern, in which a cue counts.
 CONTEXT = 40
 
 #: The regex or checksum labeler, the gazetteer, and two context labelers.
 VOTES = ("checked", "listed", "cued", "countered")
 #: kinds x strict or not x votes x length classes x separators
 PATTERNS = len(KINDS) * 2 * 2 ** len(VOTES) * 4 * 2
-_SPAN = "array<struct<kind:string,start:bigint,end:bigint,value:string,strict:boolean>>"
+_SPAN = "array<struct<start:bigint,end:bigint,kind:string,value:string,before:string,strict:boolean>>"
 
 
 def _found(text: Column, pattern: str, kind: str, strict: bool) -> Column:
-    """Matches with their offsets, in one pass over pieces and matches side by side."""
-    parts = F.arrays_zip(F.transform(F.split(text, pattern, -1), lambda x: F.length(x).cast("long")).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        at = acc["at"] + x["gap"]
-        end = at + F.coalesce(F.length(x["hit"]), F.lit(0)).cast("long")
-        span = F.struct(F.lit(kind).alias("kind"), at.alias("start"), end.alias("end"), x["hit"].alias("value"), F.lit(strict).alias("strict"))
-        return F.struct(end.alias("at"), F.when(x["hit"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(span).cast(_SPAN))).alias("out"))
-
-    return F.aggregate(parts, start, step, lambda acc: acc["out"])
+    """Matches with their offsets and what stands before them; a text that can't have any is only looked at once."""
+    made = F.transform(t.matches(text, pattern, CONTEXT), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(kind).alias("kind"), x["value"].alias("value"), x["before"].alias("before"), F.lit(strict).alias("strict")))
+    return F.when(text.rlike(GATES.get(kind, pattern) if strict else pattern), made.cast(_SPAN)).otherwise(F.expr(f"cast(array() as {_SPAN})"))
 
 
 def _digits(value: Column) -> Column:
@@ -110,6 +112,7 @@ def _checked(s: Column) -> Column:
         F.when(s["kind"] == "card", F.when((n >= 13) & (n <= 19), _luhn(s["value"])).otherwise(F.lit(False)))
         .when(s["kind"] == "phone", s["strict"] | s["value"].rlike(r"^\(?[2-9][0-9]{2}\)?[\x20.-][2-9]"))
         .when(s["kind"] == "ssn", ~s["value"].rlike("^(?:000|666|9[0-9]{2})|-00-|-0000$"))
+        .when(s["kind"] == "address", ~s["value"].rlike("^0"))
         .otherwise(F.lit(True))
     )
 
@@ -120,13 +123,14 @@ def _listed(s: Column) -> Column:
         F.when(s["kind"] == "email", F.lower(s["value"]).rlike(rf"(?:{ends})$"))
         .when(s["kind"] == "card", s["value"].rlike(r"^(?:4|5[1-5]|2[2-7]|3[47]|3[068]|6)"))
         .when(s["kind"] == "phone", s["value"].rlike(r"^\+[1-9]|^\([0-9]{3}\)"))
+        .when(s["kind"] == "address", s["value"].rlike(r"(?:Street|St|Avenue|Ave|Road|Rd|Lane|Drive)$"))
         .when(s["kind"] == "ip", s["value"].rlike(r"^(?:10|127|172|192|[1-9][0-9]{0,2})\."))
         .otherwise(F.lit(False))
     )
 
 
-def _voted(text: Column, s: Column) -> Column:
-    before = F.lower(F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)).cast("int") + 1, F.least(s["start"], F.lit(CONTEXT)).cast("int")))
+def _voted(s: Column) -> Column:
+    before = F.lower(s["before"])
     cue = F.lit(False)
     for kind, words in CUES.items():
         cue = F.when(s["kind"] == kind, before.rlike(rf"\b(?:{words})\b")).otherwise(cue)
@@ -143,20 +147,30 @@ def _voted(text: Column, s: Column) -> Column:
     )
 
 
-def _crosses(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+def _apart(base: Column, loose: Column) -> Column:
+    """Base spans, and the candidates that cross none of them.
+
+    In order of their starts, a candidate crosses a base span before it if the greatest end so far lies behind its start, and
+    one after it if the next base start lies before its end.
+    """
+
+    def chosen(every: Column) -> Column:
+        ends = t.running(F.transform(every, lambda s: F.when(s["strict"], s["end"])), F.greatest)
+        starts = t.running(F.reverse(F.transform(every, lambda s: F.when(s["strict"], s["start"]))), F.least)
+        place = lambda e, n, s, i: s["strict"] | ~F.coalesce(F.get(e, i) > s["start"], F.lit(False)) & ~F.coalesce(F.get(n, F.size(n) - 1 - i) < s["end"], F.lit(False))
+        return t.let(ends, lambda e: t.let(starts, lambda n: F.filter(every, lambda s, i: place(e, n, s, i))))
+
+    both = F.when((F.size(base) > 0) & (F.size(loose) > 0), t.let(F.array_sort(F.concat(base, loose)), chosen))
+    return F.coalesce(both, F.concat(base, loose))
 
 
 def candidates(df: DataFrame, text_col: str, out: str) -> DataFrame:
     """Adds a column of base spans and candidates, each with its votes; candidates that cross a base span are dropped."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = F.concat(*(F.when(F.contains(text, F.lit("@")) if kind == "email" else F.contains(text, F.lit("+")) if kind == "phone" else F.lit(True), _found(text, p, kind, True)).otherwise(F.expr(f"cast(array() as {_SPAN})")) for kind, p in STRICT.items()))
+    base = F.concat(*(_found(text, p, kind, True) for kind, p in STRICT.items()))
     loose = F.concat(*(_found(text, p, kind, False) for kind, p in LOOSE.items()))
-    work, spare = f"{out}_base", f"{out}_loose"
-    df = df.withColumn(work, F.filter(base, _passes))
-    df = df.withColumn(spare, loose)
-    both = F.concat(work, F.filter(spare, lambda c: ~F.exists(F.col(work), lambda b: _crosses(b, c))))
-    return df.withColumn(out, F.transform(both, lambda s: _voted(text, s))).drop(work, spare)
+    found = t.let(F.filter(base, _passes), lambda b: t.let(loose, lambda c: _apart(b, c)))
+    return df.withColumn(out, F.transform(found, _voted))
 
 
 class Classifier:
@@ -176,6 +190,33 @@ class Classifier:
         return (s["strict"] == 1) | (z > 0)
 
 
+def estimate(rows: list[dict], rounds: int = 30) -> tuple[dict, list[float]]:
+    """What the votes of one kind are worth, by expectation-maximisation, and for each pattern the probability of being right.
+
+    rows: a vote of 0 or 1 for each labeler, and n, how often that pattern occurs.  The result has for each labeler how often it
+    votes for right spans and for wrong ones, and the share of right spans.
+    """
+    prior, yes = 0.5, {v: 0.2 if v == "countered" else 0.8 for v in VOTES}
+    no, soft = {v: 0.2 for v in VOTES}, [0.5] * len(rows)
+    for _ in range(rounds):
+        a = b = 1.0
+        hit, miss = {v: (1.6, 0.4) if v != "countered" else (0.4, 1.6) for v in VOTES}, {v: (0.4, 1.6) for v in VOTES}
+        for i, r in enumerate(rows):
+            x, y = math.log(prior), math.log(1 - prior)
+            for v in VOTES:
+                x += math.log(yes[v] if r[v] else 1 - yes[v])
+                y += math.log(no[v] if r[v] else 1 - no[v])
+            p = soft[i] = 1 / (1 + math.exp(max(-700, min(700, y - x))))
+            a, b = a + p * r["n"], b + (1 - p) * r["n"]
+            for v in VOTES:
+                h, m = hit[v], miss[v]
+                hit[v] = (h[0] + p * r["n"], h[1]) if r[v] else (h[0], h[1] + p * r["n"])
+                miss[v] = (m[0] + (1 - p) * r["n"], m[1]) if r[v] else (m[0], m[1] + (1 - p) * r["n"])
+        prior = a / (a + b)
+        yes, no = ({v: x[0] / sum(x) for v, x in d.items()} for d in (hit, miss))
+    return {v: (yes[v], no[v]) for v in VOTES} | {"prior": prior}, soft
+
+
 def fit(found: DataFrame, out: str, rounds: int = 30) -> Classifier:
     """Counts the patterns, estimates reliabilities by EM, and trains the classifier on the soft labels."""
     names = ["kind", "strict", *VOTES, "size", "apart"]
@@ -185,25 +226,8 @@ def fit(found: DataFrame, out: str, rounds: int = 30) -> Classifier:
     reliability, soft = {}, {}
     for kind in KINDS:
         own = [r for r in rows if r["kind"] == kind]
-        prior, yes = 0.5, {v: 0.2 if v == "countered" else 0.8 for v in VOTES}
-        no = {v: 0.2 for v in VOTES}
-        for _ in range(rounds):
-            a = b = 1.0
-            hit, miss = {v: (1.6, 0.4) if v != "countered" else (0.4, 1.6) for v in VOTES}, {v: (0.4, 1.6) for v in VOTES}
-            for r in own:
-                x, y = math.log(prior), math.log(1 - prior)
-                for v in VOTES:
-                    x += math.log(yes[v] if r[v] else 1 - yes[v])
-                    y += math.log(no[v] if r[v] else 1 - no[v])
-                p = soft[tuple(r[k] for k in names)] = 1 / (1 + math.exp(min(700, y - x)))
-                a, b = a + p * r["n"], b + (1 - p) * r["n"]
-                for v in VOTES:
-                    h, m = hit[v], miss[v]
-                    hit[v] = (h[0] + p * r["n"], h[1]) if r[v] else (h[0], h[1] + p * r["n"])
-                    miss[v] = (m[0] + (1 - p) * r["n"], m[1]) if r[v] else (m[0], m[1] + (1 - p) * r["n"])
-            prior = a / (a + b)
-            yes, no = ({v: t[0] / sum(t) for v, t in d.items()} for d in (hit, miss))
-        reliability[kind] = {v: (yes[v], no[v]) for v in VOTES} | {"prior": prior}
+        reliability[kind], right = estimate(own, rounds)
+        soft |= {tuple(r[k] for k in names): p for r, p in zip(own, right, strict=True)}
     bias, weights = dict.fromkeys(KINDS, -3.0), {k: 0.0 for k in Classifier.features} | {"checked": 1.0, "listed": 1.0, "cued": 2.5, "countered": -2.0}
     start, start_bias = dict(weights), dict(bias)
     total = sum(math.log1p(r["n"]) for r in rows if not r["strict"]) or 1.0
@@ -239,24 +263,45 @@ def _sorted(spans: Column) -> Column:
     return F.transform(order, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["base"].alias("base")))
 
 
-def mask(docs: DataFrame, *, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
-    """The documents with all their columns; every span found is replaced by its kind, as in ``[EMAIL]``."""
+#: Code points of the pieces that a text is cut into, so that a place in it is found without going through all of it.
+PIECE = 1000
+
+
+def _between(pieces: Column, a: Column, b: Column) -> Column:
+    """The code points from a to b of a text in pieces."""
+    first, last = F.floor(a / PIECE).cast("int"), F.floor(b / PIECE).cast("int")
+    at = lambda i: F.coalesce(F.get(pieces, i), F.lit(""))
+    begin = (a % PIECE).cast("int")
+    across = F.concat(F.substring(at(first), begin + 1, F.lit(PIECE)), F.array_join(F.slice(pieces, first + 2, F.greatest(last - first - 1, F.lit(0))), ""), F.substring(at(last), F.lit(1), (b % PIECE).cast("int")))
+    return F.when(first == last, F.substring(at(first), begin + 1, (b - a).cast("int"))).otherwise(across)
+
+
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with labels for spans, which come in order; a span that crosses earlier ones goes into their label."""
+
+    def written(pieces: Column, ends: Column) -> Column:
+        before = lambda i: F.coalesce(F.get(ends, i - 1), F.lit(0).cast("long"))
+        label = lambda s, i: F.when((i == 0) | (s["start"] >= before(i)), F.concat(_between(pieces, before(i), s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")
+        return F.concat(F.array_join(F.transform(spans, label), ""), _between(pieces, before(F.size(ends)), F.length(text).cast("long")))
+
+    ends = t.running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    return t.let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), lambda p: t.let(ends, lambda e: written(p, e)))
+
+
+def mask(docs: DataFrame, scratch: Scratch | None = None, *, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """The documents with all their columns; every span found is replaced by its kind, as in ``[EMAIL]``.
+
+    The documents are written to the shared scratch folder with their candidates, so that texts are searched once.
+    """
     out = "__pii_found"
     while out in docs.columns:
         out += "_"
-    df = candidates(docs, text_col, out)
+    scratch = scratch or Scratch(docs.sparkSession, "pii")
+    df = scratch.keep(candidates(docs, text_col, out), "candidates")
     model = fit(df, out)
     spans = F.array_sort(F.transform(F.filter(out, model.accepts), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    text = F.col(text_col)
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], gap, F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("out"))).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
-
-    masked = F.aggregate(spans, begin, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+    text, new = F.col(text_col), f"{out}_text"
     any_span = F.size(out) > 0
-    new = f"{out}_text"
-    df = df.withColumn(new, F.when(any_span, masked).otherwise(text))
+    df = df.withColumn(new, F.when(any_span, t.let(spans, lambda x: _masked(text, x))).otherwise(text))
     columns = [F.col(new).alias(c) if c == text_col else F.when(any_span, F.length(new).cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == chars_col else F.col(c) for c in docs.columns]
     return df.select(*columns)

@@ -196,6 +196,42 @@ def test_pii(spark):
         assert [(s["kind"], s["start"], s["end"]) for s in r["spans"] if s["base"]] == _pii_base(texts[r["doc_id"]])
 
 
+def test_pii_recovers_planted_reliabilities():
+    """Votes drawn from known reliabilities, as counts of patterns; EM sees no labels."""
+    import itertools
+
+    yes = {"checked": 0.95, "listed": 0.8, "cued": 0.7, "countered": 0.05}
+    no = {"checked": 0.3, "listed": 0.15, "cued": 0.1, "countered": 0.4}
+    rows = []
+    for votes in itertools.product((0, 1), repeat=len(pii.VOTES)):
+        r = dict(zip(pii.VOTES, votes, strict=True))
+        of = lambda p: np.prod([p[v] if r[v] else 1 - p[v] for v in pii.VOTES])  # noqa: E731, B023
+        rows.append(r | {"n": round(1e6 * (0.4 * of(yes) + 0.6 * of(no)))})
+    got, soft = pii.estimate(rows, 2000)
+    assert abs(got["prior"] - 0.4) < 0.02
+    for v in pii.VOTES:
+        assert got[v] == pytest.approx((yes[v], no[v]), abs=0.03)
+    sure = [p for r, p in zip(rows, soft, strict=True) if r["checked"] and r["listed"] and r["cued"] and not r["countered"]]
+    assert sure[0] > 0.95
+
+
+def test_pii_long_text_with_many_spans(spark):
+    """Thousands of spans in one text: offsets stay exact, and masking equals replacing by hand."""
+    n = 3000
+    text = "é😀 " + " ".join(f"user{i}@example.org +1 555 {i:07d}" for i in range(n)) + " x" * 700
+    d = spark.createDataFrame([(1, text, len(text)), (2, "", 0), (3, None, None)], "doc_id long, text string, n_chars long")
+    got = {r["doc_id"]: r["spans"] for r in pii.detect(d, Scratch(spark, "t")).collect()}
+    assert [(s["kind"], s["start"], s["end"]) for s in got[1] if s["base"]] == _pii_base(text) and got[2] == got[3] == []
+    masked = {r["doc_id"]: r for r in pii.mask(d, Scratch(spark, "t")).collect()}
+    assert masked[1]["text"] == "é😀 " + " ".join(["[EMAIL] [PHONE]"] * n) + " x" * 700
+    assert masked[1]["n_chars"] == len(masked[1]["text"]) and masked[3]["text"] is None
+
+
+def test_pii_empty_table(spark):
+    d = spark.createDataFrame([], "doc_id long, text string, n_chars long")
+    assert pii.detect(d, Scratch(spark, "t")).count() == 0 and pii.mask(d, Scratch(spark, "t")).count() == 0
+
+
 def test_pii_masks(spark):
     text = "mail jo@example.org now, or write to bob [at] example [dot] com; card 4111 1111 1111 1111."
     d = spark.createDataFrame([(1, text, len(text), "x"), (2, "nothing 12 here", 15, "y"), (3, None, None, "z")], "doc_id long, text string, n_chars long, found string")
