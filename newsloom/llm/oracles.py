@@ -83,16 +83,23 @@ FROM f"""
 
 
 def _op10() -> str:
-    from .licenses import ABOUT, RULES, SENTENCES
+    from .licenses import ABOUT, CUTS, END, RULES, SENTENCES
 
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     cases = " ".join(f"WHEN regexp_full_match(s, {quoted(p)}) THEN {quoted(n)}" for n, p in SENTENCES)
+    normal = lambda x: f"trim(regexp_replace({x}, '[^a-z0-9]+', ' ', 'g'))"
+    cut = "t"
+    for pattern, new in CUTS:
+        cut = f"regexp_replace({cut}, {quoted(pattern)}, {quoted(new)}, 'g')"
     parts = [
         f"""cut AS (SELECT row_number() OVER () AS rid, doc_id, lower(coalesce("text", '')) AS t FROM documents),
-sent AS (SELECT rid, unnest(regexp_split_to_array(regexp_replace(t, '([.!?;:])[ \t\n\x0b\f\r]+', '\1' || chr(10), 'g'), chr(10))) AS raw, generate_subscripts(regexp_split_to_array(regexp_replace(t, '([.!?;:])[ \t\n\x0b\f\r]+', '\1' || chr(10), 'g'), chr(10)), 1) AS k FROM cut),
-norm AS (SELECT rid, k, trim(regexp_replace(raw, '[^a-z0-9]+', ' ', 'g')) AS s FROM sent),
-ids AS (SELECT rid, k, CASE {cases} ELSE 'Unknown' END AS id FROM norm WHERE regexp_matches(s, {quoted(ABOUT)})),
-r0 AS (SELECT rid, ';' || string_agg(id || ';', '' ORDER BY k) FILTER (id <> 'Unknown') AS seq, string_agg(id, ',' ORDER BY k) FILTER (id <> 'Unknown') AS sentence_ids, count(*) FILTER (id <> 'Unknown') AS n, count(*) FILTER (id = 'Unknown') AS u, CAST([] AS VARCHAR[]) AS found FROM ids GROUP BY rid)"""
+pieces AS (SELECT rid, string_split({cut}, {quoted(END)}) AS p FROM cut),
+sent AS (SELECT rid, unnest(p) AS raw, generate_subscripts(p, 1) AS k FROM pieces),
+whole AS (SELECT rid, k, raw, CASE {cases} ELSE 'Unknown' END AS id FROM (SELECT rid, k, raw, {normal("raw")} AS s FROM sent) WHERE regexp_matches(s, {quoted(ABOUT)})),
+lines AS (SELECT rid, k, unnest(string_split(raw, chr(10))) AS line, generate_subscripts(string_split(raw, chr(10)), 1) AS j FROM whole WHERE id = 'Unknown' AND contains(raw, chr(10))),
+by_line AS (SELECT * FROM (SELECT rid, k, j, CASE {cases} ELSE 'Unknown' END AS id FROM (SELECT rid, k, j, {normal("line")} AS s FROM lines) WHERE regexp_matches(s, {quoted(ABOUT)})) WHERE id <> 'Unknown'),
+ids AS (SELECT rid, k, 0 AS j, id FROM whole WHERE (rid, k) NOT IN (SELECT (rid, k) FROM by_line) UNION ALL SELECT rid, k, j, id FROM by_line),
+r0 AS (SELECT rid, ';' || string_agg(id || ';', '' ORDER BY k, j) FILTER (id <> 'Unknown') AS seq, string_agg(id, ',' ORDER BY k, j) FILTER (id <> 'Unknown') AS sentence_ids, count(*) FILTER (id <> 'Unknown') AS n, count(*) FILTER (id = 'Unknown') AS u, CAST([] AS VARCHAR[]) AS found FROM ids GROUP BY rid)"""
     ]
     for i, (name, rule) in enumerate(RULES, 1):
         parts.append(f"r{i} AS (SELECT rid, regexp_replace(seq, {quoted(rule)}, ';', 'g') AS seq, sentence_ids, n, u, CASE WHEN regexp_matches(seq, {quoted(rule)}) AND NOT list_contains(found, {quoted(name)}) THEN list_append(found, {quoted(name)}) ELSE found END AS found FROM r{i - 1})")

@@ -428,3 +428,128 @@ def test_licenses(spark):
     d = spark.createDataFrame([(i, t, "c") for i, (t, _) in texts.items()], "doc_id long, text string, all_ids string")
     assert {r["doc_id"]: r["licenses"] for r in licenses.scan(d).collect()} == {i: x for i, (_, x) in texts.items()}
     assert licenses.scan(spark.createDataFrame([(1, "Some licence of ours applies.")], "doc_id long, text string")).first()["n_unknown"] == 1
+
+
+MIT = '''MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+'''
+APACHE = '''# Copyright 2020 Some One
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+import os
+'''
+GPL2 = '''/* This program is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU General Public License
+ * as published by the Free Software Foundation; either version 2
+ * of the License, or (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+ */
+'''
+GPL3 = '''// This program is free software: you can redistribute it and/or modify
+// it under the terms of the GNU General Public License as published by
+// the Free Software Foundation, either version 3 of the License, or
+// (at your option) any later version.
+'''
+LGPL = '''This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+'''
+MPL = '''/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+'''
+BSD3 = '''Copyright (c) 2019, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL DAMAGES.
+'''
+
+
+def test_licenses_as_published(spark):
+    """Wrapped, commented and tagged; a licence text among other lines, and a wrapped phrase that is none."""
+    texts = [
+        (MIT, ["MIT"]),
+        (APACHE, ["Apache-2.0"]),
+        (GPL2, ["GPL-2.0-or-later"]),
+        (GPL3, ["GPL-3.0-or-later"]),
+        (LGPL, ["LGPL"]),
+        (MPL, ["MPL-2.0"]),
+        (BSD3, ["BSD-3-Clause", "All-Rights-Reserved"]),
+        ("SPDX-License-Identifier: MIT", ["MIT"]),
+        ("# SPDX-License-Identifier: GPL-2.0-only\nimport os", ["GPL-2.0-only"]),
+        ("// SPDX-License-Identifier: (MIT OR Apache-2.0)\npackage x", ["MIT", "Apache-2.0"]),
+        ("// SPDX-License-Identifier: Something-1.0\n", ["SPDX"]),
+        ("int main() {}\n" + GPL2 + "\nint x;\n" + MPL, ["GPL-2.0-or-later", "MPL-2.0"]),
+        ("This code is distributed under\nthe MIT license\nSee LICENSE for more", []),
+        ("the license to drive\nwas permitted", []),
+    ]
+    d = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(d.unionByName(d)).collect()}
+    for i, (t, want) in enumerate(texts):
+        assert set(got[i]) == set(want), (t, got[i])
+    assert licenses.scan(d).count() == len(texts) and licenses.scan(d.where("false")).count() == 0
+
+
+def test_license_scan_sql_agrees_on_published_texts(spark):
+    import duckdb
+
+    from newsloom.llm import oracles, queries
+
+    rows = [(i, t) for i, t in enumerate([MIT, APACHE, GPL2, GPL3, LGPL, MPL, BSD3, "x " + MIT.replace("\n", "\r\n"), "# SPDX-License-Identifier: MIT OR (Apache-2.0 AND 0BSD)\n# more", None, ""])]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, \"text\" varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    want = sorted(con.execute(oracles.oracle_sql()["op10_license_scan"]).fetchall(), key=lambda r: r[0])
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted((r["doc_id"], len(r["sentence_ids"]), r["n_unknown"], ",".join(r["sentence_ids"]), ",".join(r["licenses"])) for r in found.collect())
+    assert got == want and queries.op10_license_scan
