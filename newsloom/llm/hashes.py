@@ -34,24 +34,39 @@ def spread(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+class _Powers:
+    """Powers of an odd number and of its inverse modulo 2^64, as far as they were asked for."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            size = max(n, min(2 * len(self.up), 1 << 20), 4096)
+            made = []
+            for base in (int(_ODD), pow(int(_ODD), -1, 2**64)):
+                x = np.full(size, base, np.uint64)
+                x[0] = 1
+                made.append(np.cumprod(x, dtype=np.uint64))
+            if size > 1 << 20:  # for one very long text: not kept
+                return made[0][:n], made[1][:n]
+            self.up, self.down = made
+        return self.up[:n], self.down[:n]
+
+
+_powers = _Powers()
+
+
 def window_hashes(codes: np.ndarray, n: int) -> np.ndarray:
-    """A hash for each window of n words; fewer words, but not none, are one window."""
+    """A hash for each window of n words; fewer words, but not none, are one window.
+
+    A window's hash is a polynomial over its words' hashes, from the difference of two running sums, all modulo 2^64; its
+    bits are mixed with its length.
+    """
     size = min(n, len(codes))
     if not size:
         return codes
-    h = np.full(len(codes) - size + 1, size, np.uint64)
-    for j in range(size):
-        h = spread(h * _ODD + codes[j : len(codes) - size + 1 + j])
-    return h
-
-
-def long_window_hashes(codes: np.ndarray, n: int) -> np.ndarray:
-    """A hash for each window of n words, n of 2 or more, by doubling; none if there are fewer words."""
-    if len(codes) < n:
-        return codes[:0]
-    h, size = codes, 1
-    while size < n:
-        step = min(size, n - size)
-        h = spread(spread(h[: len(h) - step]) * _ODD + h[step:])
-        size += step
-    return h
+    up, down = _powers(len(codes))
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(codes * down, out=sums[1:])
+    return spread((sums[size:] - sums[:-size]) * up[: len(codes) - size + 1] + np.uint64(size * int(_ODD) % 2**64))

@@ -408,6 +408,48 @@ def test_passages_whose_seeds_lead_elsewhere(spark):
     assert texts[5][r["start"] : r["end"]] == both == texts[6][r["home_start"] : r["home_end"]] and r["matched"] == 90
 
 
+@pytest.mark.parametrize(("rate", "least"), [(0, 1.0), (0.05, 1.0), (0.1, 0.9)])
+def test_passages_among_pieces(spark, rate, least):
+    """Pairs that share a passage of 60 to 119 words, some of them replaced, and for each eight documents with pieces of it."""
+    rng = random.Random(5)
+    noise = lambda n: [f"n{rng.randrange(10**6)}" for _ in range(n)]
+    ids = iter(rng.sample(range(1000), 400))
+    texts, pairs = {}, []
+    for p in range(40):
+        whole = [f"p{p}w{i}" for i in range(rng.randrange(60, 120))]
+        other = list(whole)
+        for i in rng.sample(range(len(whole)), round(rate * len(whole))):
+            other[i] = f"c{rng.randrange(10**6)}"
+        a, b = next(ids), next(ids)
+        texts |= {a: noise(rng.randrange(40)) + whole + noise(30), b: noise(rng.randrange(60)) + other + noise(10)}
+        pairs.append((a, b))
+        for _ in range(8):
+            n = rng.randrange(14, 27)
+            at = rng.randrange(len(whole) - n)
+            texts[next(ids)] = noise(40) + whole[at : at + n] + noise(40)
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = {(r["id"], r["home"]) for r in passages.find(d, Scratch(spark, "t")).collect()}
+    assert sum((a, b) in found and (b, a) in found for a, b in pairs) >= least * len(pairs)
+    assert found <= {x for a, b in pairs for x in ((a, b), (b, a))}
+
+
+def test_passages_of_a_hot_seed(spark, monkeypatch):
+    """Many documents have one passage, dealt out to parts; some words come over and over."""
+    rng = random.Random(9)
+    noise = lambda n: [f"n{rng.randrange(10**6)}" for _ in range(n)]
+    shared = [f"s{i}" for i in range(60)]
+    texts = [noise(rng.randrange(30)) + shared + noise(rng.randrange(30)) for _ in range(60)] + [["ra"] * 400 + noise(20), noise(9) + ["ra"] * 90, noise(80)]
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(passages, "HOT", 10)
+    got = passages.find(d, Scratch(spark, "t")).collect()
+    assert {r["id"] for r in got} == set(range(62))
+    links = {frozenset((r["id"], r["home"])) for r in got}
+    reach = {0}
+    while more := {x for p in links if p & reach for x in p} - reach:
+        reach |= more
+    assert reach == set(range(60)) and frozenset((60, 61)) in links and len(links) < 4 * 60
+
+
 def test_passages_within_passages_go():
     rows = [(1, 0, 200, 2, 0, 200, 190), (1, 10, 70, 2, 10, 70, 60), (1, 10, 70, 2, 150, 210, 60), (1, 10, 70, 3, 10, 70, 60), (1, 0, 200, 2, 0, 200, 190)]
     (got,) = passages._outermost(iter([passages._longs(rows, passages._PASSAGE)]))
