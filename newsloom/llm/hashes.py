@@ -6,13 +6,15 @@ import numpy as np
 import xxhash
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-#: Words whose hashes a Python worker remembers at a time.
-CACHE_WORDS = 500_000
+#: Words whose hashes a Python worker remembers at a time; longer words than this are not remembered.
+CACHE_WORDS, CACHE_LENGTH = 500_000, 200
 
 
 class _Codes(dict):
     def __missing__(self, word: bytes) -> int:
-        v = self[word] = xxhash.xxh3_64_intdigest(word)
+        v = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= CACHE_LENGTH:
+            self[word] = v
         return v
 
 

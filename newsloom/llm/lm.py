@@ -8,8 +8,10 @@ ids, the longest matches from the left in a public byte-level BPE vocabulary; th
 and a word's probability is the even mixture of its ids' and of its share of the corpus, which is 0 for unknown words.
 The corpus gives everything that is counted: the counts of all words of all training documents, from them the counts of
 all ids and of which ids stand next to which, the classes (k-means over those neighbourhoods), and the shares.  The
-network is trained by data-parallel SGD on all ids of every training document, each document in one of ``ROUNDS`` rounds,
-each task starting from the mean of the last round's tasks; so training grows with the corpus.
+network is trained by data-parallel SGD on all ids of every training document, each document in one of ``ROUNDS`` rounds, each
+shard starting from the mean of the last round's shards; so training grows with the corpus.  Shards are dealt out and put in
+order by hashes of id and text, and their number follows from the count of words, so the network doesn't depend on how the
+table is split.
 
 Scoring runs over overlapping windows of ``CONTEXT`` + ``CONTEXT`` ids: each id is scored once, in the second half of its
 window, with at least ``CONTEXT`` ids before it, or padding at the start of the text.
@@ -44,8 +46,10 @@ FREQUENT = 200_000
 CONTEXT, STEP, ROUNDS = 16, 64, 2
 #: Width of the embedding and of the hidden layer; classes; rows of the embedding (rarer ids share them); neighbourhood slots.
 WIDTH, HIDDEN, CLASSES, ROWS, NEAR = 24, 48, 96, 6144, 24
-#: Words whose ids a Python worker remembers at a time.
-CACHE_WORDS = 400_000
+#: Words whose ids a Python worker remembers at a time, and bytes of words.
+CACHE_WORDS, CACHE_BYTES = 400_000, 64 << 20
+#: Words of training documents for each shard.
+SHARD_WORDS = 4_000_000
 RATE, SEED = 0.05, 11
 
 
@@ -250,6 +254,7 @@ class Model:
 
     def __init__(self, stats: np.ndarray, bpe: Bpe):
         self.cache: dict[bytes, bytes] = {}
+        self.cached = 0
         self.bpe, self.end = bpe, bpe.special.get("<|endoftext|>", len(bpe.bytes) - 1)
         count = stats[:, 0].astype(np.float64)
         self.group = classes_of(stats)
@@ -270,14 +275,16 @@ class Model:
         for raw in raws:
             words = raw.lower().split()
             for w in set(words).difference(cache):
-                cache[w] = np.array(greedy(b" " + w), "<u4").tobytes()
+                cache[w] = made = np.array(greedy(b" " + w), "<u4").tobytes()
+                self.cached += len(w) + len(made)
             out.append(np.frombuffer(b"".join([*map(cache.__getitem__, words), end]), "<u4").astype(np.int64))
-            if len(cache) > CACHE_WORDS:
+            if len(cache) > CACHE_WORDS or self.cached > CACHE_BYTES:
                 cache.clear()
+                self.cached = 0
         return out
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": {}}
+        return self.__dict__ | {"cache": {}, "cached": 0}
 
     def windows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Inputs, targets and weights: window i has 2 x CONTEXT inputs and scores ids i x CONTEXT and on."""
@@ -291,7 +298,8 @@ class Model:
     def score(self, raws: list[bytes], chances: list[np.ndarray], block: int = 256) -> list[tuple[float, np.ndarray]]:
         """log10 probability of each text, given each word's probability by the counts (0 if unknown), and of each word by the network.
 
-        A word's probability is the even mixture of that and of its ids' by the network, so it adds up to 1 over all words.
+        A word's probability is the even mixture of that and of its ids' by the network.  Both add up to 1 at most: the network also
+        gives some to ids that can't stand there, and to words cut otherwise.
         """
         all_ids = self.ids(raws)
         parts = [self.windows(i) for i in all_ids]
@@ -308,8 +316,8 @@ class Model:
         return out
 
 
-def _train_round(docs: DataFrame, model, round_: int, rounds: int) -> np.ndarray | None:
-    """The tasks' networks after all windows of this round's documents, each times the ids it saw, and that number."""
+def _train_round(docs: DataFrame, model, round_: int, rounds: int, shards: int) -> DataFrame:
+    """The shards' networks after all windows of this round's documents, each times the ids it saw, and that number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         m, state, seen, buffer = model.value, {}, 0, []
@@ -321,11 +329,7 @@ def _train_round(docs: DataFrame, model, round_: int, rounds: int) -> np.ndarray
             buffer.clear()
 
         for b in batches:
-            raws = []
-            for id_, raw in zip(b.column("id").to_pylist(), raw_texts(b, "text"), strict=True):
-                if not is_held_out(id_) and zlib.crc32(f"stretch {id_}".encode()) % rounds == round_:
-                    raws.append(raw)
-            for ids in m.ids(raws):
+            for ids in m.ids(raw_texts(b, "text")):
                 part = m.windows(ids)
                 seen += len(ids)
                 for i in range(0, len(part[0]), STEP):
@@ -335,9 +339,26 @@ def _train_round(docs: DataFrame, model, round_: int, rounds: int) -> np.ndarray
         if buffer:
             step()
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([np.append(net.flat * np.float32(seen), np.float32(seen)).tobytes()], pa.binary())], names=["net"])
+            yield pa.RecordBatch.from_arrays([pa.array([np.append(net.flat.astype(np.float64) * seen, float(seen)).tobytes()], pa.binary())], names=["net"])
+
+    fold = lambda text: F.crc32(text.cast("binary"))
+    id_ = F.coalesce(F.col("id").cast("string"), F.lit(""))
+    mine = docs.where((fold(id_) % FOLDS != HELD) & (fold(F.concat(F.lit("stretch "), id_)) % rounds == round_))
+    order = F.xxhash64("id", "text")
+    dealt = mine.select("text", order.alias("h")).repartition(shards, "h").sortWithinPartitions("h", "text")
+    return dealt.mapInArrow(run, "net binary")
+
 
-    return docs.mapInArrow(run, "net binary")
+def _frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """The words of the greatest counts, at most so many: their least count is found by the counts' sizes, so no more than these reach the driver."""
+    size = F.floor(F.log2("c") * 64).cast("int")  # at most 64 x 64 of them
+    many, least = 0, None
+    for r in sorted(counts.groupBy(size.alias("size")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["size"]):
+        many += r["n"]
+        if many > most:
+            break
+        least = r["size"]
+    return {} if least is None else {bytes(r["word"]): r["c"] for r in counts.where(size >= least).toLocalIterator()}
 
 
 def score(docs: DataFrame, bpe: Bpe, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, rounds: int = ROUNDS) -> DataFrame:
@@ -347,13 +368,14 @@ def score(docs: DataFrame, bpe: Bpe, scratch: Scratch, *, id_col: str = "doc_id"
     df = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     counts = scratch.keep(_count_words(df), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = {bytes(r["word"]): r["c"] for r in counts.orderBy(F.desc("c"), "word").limit(frequent).collect()}
+    top = _frequent(counts, frequent)
     known = sc.broadcast(top)
     shared = sc.broadcast(bpe)
     model = Model(_id_stats(counts, shared, scratch), bpe)
+    shards = max(1, -(-total // SHARD_WORDS))
     for r in range(rounds):
         sent = sc.broadcast(model)
-        got = fold_bytes(scratch.keep(_train_round(df, sent, r, rounds), "nets"), "net", "<f4", lambda a, b: a + b)
+        got = fold_bytes(scratch.keep(_train_round(df, sent, r, rounds, shards), "nets"), "net", "<f8", lambda a, b: a + b)
         if got is not None:
             model.net = Net(got[:-1] / got[-1])
         sent.unpersist()
