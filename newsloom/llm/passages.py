@@ -43,10 +43,13 @@ GAP_COST, LONGEST_GAP, SKIP = 0.02, 40, 12
 SLACK, MARGIN = 2 * (K + WINDOW), MIN_WORDS + LONGEST_GAP
 #: Words in a block: what is covered is told by blocks.
 BLOCK = 16
-#: Bits of the broadcast filters: a fuller filter lets more rows through, never fewer.
-SEED_BITS, HOT_BITS, REGION_BITS = 1 << 24, 1 << 20, 1 << 24
+#: Bits of the broadcast filters: of seeds so many for each shared one, within these bounds, of hot seeds, and of regions or their
+#: blocks.  A fuller filter lets more rows through, never fewer.
+BITS_EACH, LEAST_BITS, MOST_BITS, HOT_BITS, REGION_BITS = 16, 1 << 20, 1 << 29, 1 << 20, 1 << 24
+#: Tasks that fill a filter.
+FILLERS = 16
 #: Documents from which on a seed, or passages from which on a home, is dealt out to so many parts.
-HOT, PARTS = 4_000, 64
+HOT, PARTS = 1_000, 64
 
 
 def seeds(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,21 +89,31 @@ def _distinct_seeds(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "seed long")
 
 
-def _filters_of(shared: DataFrame, scratch: Scratch) -> list | None:
-    """Broadcast bit filters of the shared seeds, and of those that very many documents have; None if there are none."""
+def _set(bits: np.ndarray, slot: np.ndarray) -> None:
+    np.bitwise_or.at(bits, slot >> 3, np.uint8(1) << (slot & 7).astype(np.uint8))
+
+
+def _is_set(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & np.uint8(1) > 0
+
+
+def _filters_of(shared: DataFrame, scratch: Scratch) -> tuple | None:
+    """A broadcast of bit filters of the shared seeds, and of those that very many documents have, and the size of the first; None if there are none."""
+    n = shared.count()
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * n).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        flags, some = np.zeros(SEED_BITS + HOT_BITS, bool), False
+        bits, some = np.zeros((size + HOT_BITS) // 8, np.uint8), False
         for b in batches:
             seed, hot = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False) >= HOT
-            flags[_slot(seed, SEED_BITS)] = True
-            flags[SEED_BITS + _slot(seed[hot], HOT_BITS)] = True
+            _set(bits, _slot(seed, size))
+            _set(bits, size + _slot(seed[hot], HOT_BITS))
             some |= len(seed) > 0
         if some:
-            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(flags).tobytes()], pa.binary())], names=["bits"])
+            yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], names=["bits"])
 
-    got = fold_bytes(shared.mapInArrow(run, "bits binary"), "bits", "u1", np.bitwise_or, scratch)
-    return None if got is None else shared.sparkSession.sparkContext.broadcast(got.tobytes())
+    got = fold_bytes(shared.coalesce(FILLERS).mapInArrow(run, "bits binary"), "bits", "u1", np.bitwise_or, scratch)
+    return None if got is None else (shared.sparkSession.sparkContext.broadcast(got.tobytes()), size)
 
 
 def _fresh(key: np.ndarray, at: np.ndarray, near: int) -> np.ndarray:
@@ -114,11 +127,11 @@ def _fresh(key: np.ndarray, at: np.ndarray, near: int) -> np.ndarray:
 _PLACE = "key long, id long, reg long, size long, pos long, span long, part long, at long, words binary"
 
 
-def _places(docs: DataFrame, wanted) -> DataFrame:
+def _places(docs: DataFrame, wanted, seed_bits: int) -> DataFrame:
     """Places of the shared seeds, short and long, in regions that could hold a passage, and these regions' words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).view(bool)
+        bits = np.frombuffer(wanted.value, np.uint8)
         for b in batches:
             out: list[tuple] = []
             regions: list[tuple] = []
@@ -127,7 +140,7 @@ def _places(docs: DataFrame, wanted) -> DataFrame:
                 if len(codes) < MIN_WORDS:
                     continue
                 h, at = seeds(codes)
-                known = bits[_slot(h, SEED_BITS)]
+                known = _is_set(bits, _slot(h, seed_bits))
                 if known.sum() < 2 and MIN_WORDS - SLACK > K:
                     continue
                 kept, kept_at = h[known], at[known]
@@ -144,7 +157,7 @@ def _places(docs: DataFrame, wanted) -> DataFrame:
                 regs, sizes = np.repeat(reg, many), np.repeat(size, many)
                 fresh = _fresh(kept, kept_at, K + WINDOW)
                 kept, kept_at, regs, sizes = kept[fresh], kept_at[fresh], regs[fresh], sizes[fresh]
-                part = np.where(bits[SEED_BITS + _slot(kept, HOT_BITS)], np.int64(int(spread(np.array([id_], np.int64).view(np.uint64))[0] % np.uint64(PARTS))), np.int64(-1))
+                part = np.where(_is_set(bits, seed_bits + _slot(kept, HOT_BITS)), np.int64(int(spread(np.array([id_], np.int64).view(np.uint64))[0] % np.uint64(PARTS))), np.int64(-1))
                 out.append((kept, np.full(len(kept), id_, np.int64), regs, sizes, kept_at, np.full(len(kept), K, np.int64), part))
                 # long seeds: all seeds whose choice depends on words inside must be shared
                 alone = np.concatenate(([0], np.cumsum(~known)))
@@ -477,12 +490,13 @@ def _aligned(keyed: DataFrame, regions: DataFrame, neighbours: bool, scratch: Sc
 def find(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per passage and partner: id, start, end (words), home, home_start, home_end, matched."""
     df = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
-    shared = _distinct_seeds(df).groupBy("seed").agg(F.count("*").alias("n")).where("n > 1")
+    shared = scratch.keep(_distinct_seeds(df).groupBy("seed").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     empty = docs.sparkSession.createDataFrame([], _PASSAGE)
     wanted = _filters_of(shared, scratch)
     if wanted is None:
         return empty
-    places = scratch.keep(_places(df, wanted), "places")
+    places = scratch.keep(_places(df, *wanted), "places")
+    scratch.drop("shared")
     keyed = places.where("words is null").select("key", "id", "reg", "size", "pos", "span", "part")
     regions = places.where("words is not null").select("id", "reg", "at", "words")
     found = _aligned(keyed.where(F.col("span") == K).withColumn("open", F.lit(1).cast("long")), regions, False, scratch)
