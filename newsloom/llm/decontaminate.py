@@ -8,24 +8,25 @@ Defined results: a null or empty text has no words and no hits; benchmark rows w
 window; rows with a null ``item_id`` still hit words but are no named item; repeated item ids count once; repeated
 document rows give a row each; other columns of either table are not looked at.
 
-The set goes out in blocks of at most ``BLOCK_CHARS`` characters of benchmark text, each broadcast on its own and scanned
-in turn, so that the size of a broadcast has a bound whatever the size of the benchmark.
+The set goes out in blocks of about ``BLOCK_CHARS`` bytes of benchmark text.  A block is some arrays of 24 bytes a window and a
+dictionary of its words.  If there are several, each is broadcast, scanned and its outcome written before the next one, so that
+what workers hold has a bound whatever the size of the benchmark.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_batch, raw_texts
+from .common import Scratch, per_batch, raw_texts
 
 WINDOW = 10
-#: Benchmark characters in one broadcast block.
+#: Benchmark bytes in one broadcast block.
 BLOCK_CHARS = 8_000_000
 
 _CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -38,47 +39,66 @@ def words(raw: bytes) -> list[bytes]:
 
 
 class Windows:
-    """Exact windows by length, with 64-bit window hashes in front as a filter."""
+    """Windows by length: sorted 64-bit hashes as a filter, and where each stands among the items' words, to compare them."""
 
     def __init__(self, items: list[tuple[str | None, bytes]], n: int):
         self.vocab: dict[bytes, int] = {}
-        self.exact: dict[int, dict[tuple, set]] = defaultdict(dict)
+        self.names: list[str | None] = []
+        texts, sizes = [], []
         for item, raw in items:
-            ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words(raw)]
-            size = min(n, len(ids))
-            for i in range(len(ids) - size + 1 if size else 0):
-                found = self.exact[size].setdefault(tuple(ids[i : i + size]), set())
-                if item is not None:
-                    found.add(item)
-        rng = np.random.default_rng(7)
-        self.code = rng.integers(0, 2**63, len(self.vocab) + 1, dtype=np.uint64)
-        self.hashes = {size: np.unique(self._hash(np.array(list(w), dtype=np.int64), size, None)) for size, w in self.exact.items()}
-
-    def _hash(self, ids: np.ndarray, size: int, starts: np.ndarray | None) -> np.ndarray:
-        h = np.zeros(len(ids) if starts is None else len(starts), np.uint64)
+            ids = np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in words(raw)], np.int32)
+            if len(ids):
+                self.names.append(item)
+                texts.append(ids)
+                sizes.append(min(n, len(ids)))
+        self.ids = np.concatenate(texts) if texts else np.zeros(0, np.int32)
+        self.code = np.random.default_rng(7).integers(0, 2**63, len(self.vocab) + 1, dtype=np.uint64)
+        length = np.array([len(t) for t in texts], np.int64)
+        first = np.cumsum(length) - length
+        #: For each window size: sorted hashes, where the windows start, and their items.
+        self.found: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for size in sorted(set(sizes)):
+            own = [i for i, x in enumerate(sizes) if x == size]
+            at = np.concatenate([np.arange(first[i], first[i] + length[i] - size + 1) for i in own])
+            item = np.repeat(np.array(own, np.int64), length[own] - size + 1)
+            h = self._hash(self.ids, size, at)
+            by = np.argsort(h, kind="stable")
+            self.found[size] = h[by], at[by], item[by]
+
+    def _hash(self, ids: np.ndarray, size: int, starts: np.ndarray) -> np.ndarray:
+        h = np.zeros(len(starts), np.uint64)
         for j in range(size):
-            h = h * _MIX + self.code[ids[:, j] if starts is None else ids[starts + j]]
+            h = h * _MIX + self.code[ids[starts + j]]
         return h
 
     def scan(self, doc: list[bytes]) -> tuple[np.ndarray, set]:
         """Hit flags of the words, and the items found."""
         get, n = self.vocab.get, len(doc)
-        ids = np.fromiter((get(w, 0) for w in doc), np.int64, n)
+        ids = np.fromiter((get(w, 0) for w in doc), np.int32, n)
         hit, items = np.zeros(n, bool), set()
         unknown = np.concatenate(([0], np.cumsum(ids == 0)))
-        for size, known in self.hashes.items():
+        for size, (known, at, item) in self.found.items():
             if n < size:
                 continue
             starts = np.flatnonzero(unknown[size:] == unknown[:-size])
             if not len(starts):
                 continue
             h = self._hash(ids, size, starts)
-            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            for s in starts[known[at] == h].tolist():
-                found = self.exact[size].get(tuple(ids[s : s + size].tolist()))
-                if found is not None:
-                    hit[s : s + size] = True
-                    items |= found
+            left = np.searchsorted(known, h)
+            seen: set[int] = set()
+            for k in np.flatnonzero(known[np.minimum(left, len(known) - 1)] == h).tolist():
+                s, x, i = int(starts[k]), h[k], int(left[k])
+                mine = ids[s : s + size]
+                again = i in seen  # the items of these windows have been looked up
+                while i < len(known) and known[i] == x:
+                    if (self.ids[at[i] : at[i] + size] == mine).all():
+                        hit[s : s + size] = True
+                        seen.add(int(left[k]))
+                        if again:
+                            break
+                        if (name := self.names[item[i]]) is not None:
+                            items.add(name)
+                    i += 1
         return hit, items
 
 
@@ -92,17 +112,15 @@ def spans_of(raw: bytes, hit: np.ndarray) -> list[dict]:
     return [{"start": int(chars[at[a][0]]), "end": int(chars[at[b - 1][1]])} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
 
 
-def _blocks(bench: DataFrame, item_col: str, text_col: str, n: int, block_chars: int) -> list:
-    """Broadcasts of Windows, each over at most about block_chars characters."""
+def _blocks(bench: DataFrame, item_col: str, text_col: str, n: int, block_chars: int) -> Iterator[tuple]:
+    """Broadcasts of Windows, each over about block_chars bytes, made when they are asked for, with whether it is the last one."""
     sc = bench.sparkSession.sparkContext
     rows = bench.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("binary").alias("raw")).where("raw is not null")
     total = rows.agg(F.sum(F.length("raw"))).first()[0] or 0
     count = max(1, -(-total // block_chars))
-    out = []
     for b in range(count):
         part = rows if count == 1 else rows.where(F.pmod(F.xxhash64("item", "raw"), F.lit(count)) == b)
-        out.append(sc.broadcast(Windows([(r["item"], bytes(r["raw"])) for r in part.toLocalIterator()], n)))
-    return out
+        yield sc.broadcast(Windows([(r["item"], bytes(r["raw"])) for r in part.toLocalIterator()], n)), b == count - 1
 
 
 _SCAN = "n_words long, n_hit long, spans array<struct<start:long,end:long>>, items array<string>"
@@ -112,9 +130,8 @@ def scan(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id", text_col:
     """A row per document: id, n_words, n_hit, the code-point spans of runs of hit words, and the items found, sorted as strings."""
     kind = docs.schema[id_col].dataType.simpleString()
     df = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    blocks = _blocks(bench, item_col, item_text, n, block_chars)
-    for k, block in enumerate(blocks):
-        last = k == len(blocks) - 1
+    scratch = Scratch(docs.sparkSession, "decontamination")
+    for k, (block, last) in enumerate(_blocks(bench, item_col, item_text, n, block_chars)):
 
         def step(b: pa.RecordBatch, block=block, first=k == 0, last=last) -> pa.RecordBatch:
             windows, hits, items, counts, spans = block.value, [], [], [], []
@@ -140,6 +157,10 @@ def scan(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id", text_col:
             )
 
         df = per_batch(df, step, f"id {kind}, {_SCAN}" if last else f"id {kind}, text string, hit binary, items array<string>")
+        if not last:
+            df = scratch.keep(df, f"block{k}")
+            block.unpersist()
+            scratch.drop(f"block{k - 1}")
     return df.withColumnRenamed("id", id_col)
 
 
@@ -147,8 +168,8 @@ def remove(docs: DataFrame, bench: DataFrame, *, mode: str = "documents", text_c
     """The documents with all their columns: without those that have a hit (``documents``), or with the hit spans cut out (``spans``)."""
     if mode not in ("documents", "spans"):
         raise ValueError(f"mode: {mode}")
-    df = docs
-    for block in _blocks(bench, item_col, item_text, n, block_chars):
+    df, scratch = docs, Scratch(docs.sparkSession, "decontamination")
+    for k, (block, last) in enumerate(_blocks(bench, item_col, item_text, n, block_chars)):
 
         def step(b: pa.RecordBatch, block=block) -> pa.RecordBatch:
             windows, keep, texts = block.value, [], []
@@ -164,6 +185,10 @@ def remove(docs: DataFrame, bench: DataFrame, *, mode: str = "documents", text_c
             return pa.RecordBatch.from_arrays([new if j == i else c for j, c in enumerate(b.columns)], schema=b.schema)
 
         df = per_batch(df, step, docs.schema)
+        if not last:
+            df = scratch.keep(df, f"block{k}")
+            block.unpersist()
+            scratch.drop(f"block{k - 1}")
     return df
 
 
