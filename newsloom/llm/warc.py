@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Records in one archive.
-ARCHIVE_RECORDS = 2000
+#: Records in one archive, and bytes of payloads before they are zipped (a larger payload has an archive of its own).
+ARCHIVE_RECORDS, ARCHIVE_BYTES = 2000, 256 << 20
 #: Rows of the table of repeated payloads up to which it is broadcast; beyond, it is joined by shuffle.
 BROADCAST_ROWS = 200_000
 #: Time of the first capture where the pages tell none (seconds since 1970).
@@ -42,11 +42,13 @@ def base32_sha1(data: Column) -> Column:
     return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", time_col: str | None = None, min_bytes: int = 0) -> None:
+def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", time_col: str | None = None, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> None:
     seconds = F.col(time_col).cast("long") if time_col else F.lit(EPOCH) + F.coalesce(F.col(id_col).cast("long"), F.lit(0))
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     df = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("size"), base32_sha1(payload.cast("binary")).alias("digest"), seconds.alias("seconds"))
     groups = df.where(F.col("size") >= min_bytes).groupBy("digest", "size").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    longest = df.agg(F.max("size")).first()[0] or 0
+    records = max(1, min(ARCHIVE_RECORDS, archive_bytes // max(1, longest)))
     groups = groups.cache()
     try:
         few = groups.count() <= BROADCAST_ROWS
@@ -69,7 +71,7 @@ def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str
             F.lit("\r\n"),
             block,
         )
-        df.select(record.alias("value")).write.option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
+        df.select(record.alias("value")).write.option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
     finally:
         groups.unpersist()
 
