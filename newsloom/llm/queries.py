@@ -89,9 +89,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
-    path = Scratch(spark, "op8").path("archives")
+    scratch = Scratch(spark, "op8")
+    path = scratch.path("archives")
     warc.write(table(spark, sf_dir, "pages"), path)
-    found = warc.index(warc.read(spark, path))
+    found = warc.index(warc.read(spark, path), scratch)
     return found.select(F.col("id").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
 
 

@@ -5,12 +5,15 @@ that Spark can write will do; the writer's separator between values is the blank
 with equal payloads of at least ``min_bytes`` bytes, that with the smallest id is the response and the others are revisits.
 
 read() parses archives by Content-Length, checks each stored payload against its digest, and sorts each archive's captures
-into a run by URL key and time.  index() deals the runs out by range and merges them, within each range, with a loser
-tree; the result is in global order.
+into a run by URL key and time, with each record's place in the inflated archive.  index() writes the runs, deals them out by
+ranges of at most some ``RANGE_ROWS`` captures, and merges the stretches of the runs within each range with a loser tree; the
+result is in global order.  No task holds more than a range, whatever the number of captures, as keys end with the run and the
+place, so that even repeated rows differ.  fetch() reads records back by run, place and length.
 
 Defined results: a null payload is empty; a null url has no target and an empty key; rows with a null id come last among
 equals and never are what others refer to; several rows with the smallest id of a group are all responses; other columns
-are not looked at.  A payload that doesn't match its digest raises ValueError.
+are not looked at.  A payload that doesn't match its digest raises ValueError.  No pages give no captures.  A fetched revisit
+has no payload of its own.
 """
 
 from __future__ import annotations
@@ -19,14 +22,19 @@ import base64
 import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import islice
 from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 #: Records in one archive, and bytes of payloads before they are zipped (a larger payload has an archive of its own).
 ARCHIVE_RECORDS, ARCHIVE_BYTES = 2000, 256 << 20
+#: Captures in a range of the index, on average.
+RANGE_ROWS = 100_000
 #: Rows of the table of repeated payloads up to which it is broadcast; beyond, it is joined by shuffle.
 BROADCAST_ROWS = 200_000
 #: Time of the first capture where the pages tell none (seconds since 1970).
@@ -42,7 +50,8 @@ def base32_sha1(data: Column) -> Column:
     return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", time_col: str | None = None, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> None:
+def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", time_col: str | None = None, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, compression: str = "gzip") -> None:
+    """A file is one gzip member; with compression "none", the index has places in the file itself."""
     seconds = F.col(time_col).cast("long") if time_col else F.lit(EPOCH) + F.coalesce(F.col(id_col).cast("long"), F.lit(0))
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     df = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("size"), base32_sha1(payload.cast("binary")).alias("digest"), seconds.alias("seconds"))
@@ -71,13 +80,15 @@ def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str
             F.lit("\r\n"),
             block,
         )
-        df.select(record.alias("value")).write.option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
+        df.select(record.alias("value")).write.option("lineSep", _END).option("compression", compression).option("maxRecordsPerFile", records).text(path)
     finally:
         groups.unpersist()
 
 
 def inflate(data: bytes) -> bytes:
-    """All members of a gzip file."""
+    """All members of a gzip file; what is no gzip file comes back as it is."""
+    if data[:2] != b"\x1f\x8b":
+        return data
     out = []
     while data:
         z = zlib.decompressobj(31)
@@ -86,8 +97,8 @@ def inflate(data: bytes) -> bytes:
     return b"".join(out)
 
 
-def records(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and block of each record."""
+def records(archive: bytes) -> Iterator[tuple[dict[str, str], bytes, int, int]]:
+    """Headers (names in lower case), block, place and length of each record, with the blank line that ends it."""
     at = 0
     while at < len(archive):
         end = archive.index(b"\r\n\r\n", at)
@@ -99,7 +110,7 @@ def records(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         stop = start + int(fields["content-length"])
         if archive[stop : stop + 4] != b"\r\n\r\n":
             raise ValueError(f"record at byte {at} has another length than it tells")
-        yield fields, archive[start:stop]
+        yield fields, archive[start:stop], at, stop + 4 - at
         at = stop + 4
 
 
@@ -116,7 +127,7 @@ def url_key(url: str | None) -> str:
     return ",".join(reversed(host.split("."))) + shown + ")" + (u.path or "/") + (f"?{u.query}" if u.query else "")
 
 
-_CAPTURE = "url_key string, captured string, id long, url string, size long, digest string, type string, refers_to long, run string"
+_CAPTURE = "url_key string, captured string, id long, url string, size long, digest string, type string, refers_to long, run string, offset long, length long"
 _NAMES = [x.split()[0] for x in _CAPTURE.split(", ")]
 
 
@@ -125,37 +136,46 @@ def _page(urn: str) -> int | None:
     return None if number == "null" else int(number)
 
 
-def _order(row: tuple) -> tuple:
-    return row[0], row[1], row[2] is None, row[2] or 0, row[6]
+def _order(key: str, captured: str, id_: int | None, run: str, offset: int) -> tuple:
+    return key, captured, id_ is None, id_ or 0, run, offset
+
+
+def _payload(block: bytes) -> bytes:
+    """What follows the headers of the HTTP answer."""
+    return block[block.index(b"\r\n\r\n") + 4 :]
 
 
 def captures(archive: bytes, run: str) -> list[tuple]:
     """The captures of an archive as a sorted run."""
     out = []
-    for f, block in records(archive):
+    for f, block, at, length in records(archive):
         digest = f["warc-payload-digest"].removeprefix("sha1:")
         if f["warc-type"] == "response":
-            payload = block[block.index(b"\r\n\r\n") + 4 :]
+            payload = _payload(block)
             if base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest or len(payload) != int(f["x-payload-length"]):
                 raise ValueError(f"{f['warc-record-id']}: the payload doesn't match its digest")
         url = f.get("warc-target-uri")
         refers = f.get("warc-refers-to")
-        out.append((url_key(url), f["warc-date"], _page(f["warc-record-id"]), url, int(f["x-payload-length"]), digest, f["warc-type"], _page(refers) if refers else None, run))
-    out.sort(key=_order)
+        out.append((url_key(url), f["warc-date"], _page(f["warc-record-id"]), url, int(f["x-payload-length"]), digest, f["warc-type"], _page(refers) if refers else None, run, at, length))
+    out.sort(key=lambda r: _order(*r[:3], *r[8:10]))
     return out
 
 
+def _archives(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.{gz,warc,txt}").load(path).select(F.element_at(F.split("path", "/"), -1).alias("run"), "content")
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The captures of all archives under a path; each archive is a sorted run."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for b in batches:
             for name, content in zip(b.column(0), b.column(1), strict=True):
-                rows = captures(inflate(content.as_py()), name.as_py().rpartition("/")[2])
+                rows = captures(inflate(content.as_py()), name.as_py())
                 if rows:
                     yield _batch(rows)
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content").mapInArrow(parse, _CAPTURE)
+    return _archives(spark, path).mapInArrow(parse, _CAPTURE)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -202,23 +222,36 @@ class LoserTree:
             self._replay(i)
 
 
-def index(found: DataFrame) -> DataFrame:
-    """Captures in global order of URL key, time and id: ranges of the runs, each merged by a loser tree."""
+def index(found: DataFrame, scratch: Scratch, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Captures in global order of URL key, time, id and place: the written runs in ranges, each merged by a loser tree."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        runs: dict[str, list[tuple]] = {}
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        keys = list(map(_order, *(rows.column(n).to_pylist() for n in ("url_key", "captured", "id", "run", "offset"))))
+        # rows come as their runs were written, some runs in pieces: each stretch in order is one run of the merge
+        cuts = [0, *(i for i in range(1, len(keys)) if keys[i] < keys[i - 1]), len(keys)]
+        merged = iter(LoserTree([range(a, b) for a, b in zip(cuts, cuts[1:])], keys.__getitem__))
+        while places := list(islice(merged, 5000)):
+            yield from rows.take(places).combine_chunks().to_batches()
+
+    runs = scratch.keep(found, "runs")
+    ranges = max(1, -(-runs.count() // range_rows))
+    return runs.repartitionByRange(ranges, "url_key", "captured", F.col("id").isNull(), "id", "run", "offset").mapInArrow(merge, _CAPTURE)
+
+
+def fetch(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """run, offset, payload of the captures wanted (run, offset, length); an archive without any is not inflated."""
+    places = wanted.groupBy("run").agg(F.collect_list(F.struct("offset", "length")).alias("places"))  # as many as the archive has records
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                runs.setdefault(row[-1], []).append(row)
-        for r in runs.values():
-            r.sort(key=_order)  # a run comes in order, so this is one pass
-        out: list[tuple] = []
-        for row in LoserTree(list(runs.values()), _order):
-            out.append(row)
-            if len(out) == 5000:
-                yield _batch(out)
-                out = []
-        if out:
-            yield _batch(out)
-
-    return found.repartitionByRange("url_key", "captured", F.col("id").isNull(), "id").mapInArrow(merge, _CAPTURE)
+            for run, content, places in zip(*(b.column(n) for n in ("run", "content", "places")), strict=True):
+                archive = inflate(content.as_py())
+                for p in places.as_py():
+                    _, block, *_ = next(records(archive[p["offset"] : p["offset"] + p["length"]]))
+                    yield pa.RecordBatch.from_arrays([pa.array([run.as_py()]), pa.array([p["offset"]], pa.int64()), pa.array([_payload(block)], pa.binary())], names=["run", "offset", "payload"])
+
+    return _archives(spark, path).join(places, "run").mapInArrow(cut, "run string, offset long, payload binary")

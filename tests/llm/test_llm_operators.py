@@ -369,7 +369,9 @@ def test_warc(spark, tmp_path):
     rows = [(i if i != 6 else None, f"http://WWW.b{i % 2}.example.com:80/p?q={i}#f" if i != 4 else None, h, "extra") for i, h in enumerate(html)] + [(0, "http://a.example.com/\n", "<p>x</p>", "extra")]
     path = str(tmp_path / "w")
     warc.write(spark.createDataFrame(rows, "page_id long, url string, html string, size string"), path)
-    found = warc.index(warc.read(spark, path)).withColumn("part", F.spark_partition_id()).collect()
+    index = warc.index(warc.read(spark, path), Scratch(spark, "warc"), range_rows=3)
+    found = index.withColumn("part", F.spark_partition_id()).collect()
+    assert len({r["part"] for r in found}) > 1
     got = Counter((r["id"], r["size"], r["digest"], r["type"], r["refers_to"]) for r in found)
     want = Counter()
     for i, _, h, _ in rows:
@@ -382,6 +384,9 @@ def test_warc(spark, tmp_path):
     order = [(r["url_key"], r["captured"], r["id"] is None, r["id"] or 0) for r in sorted(found, key=lambda r: r["part"])]
     by_part = sorted(order)
     assert order == by_part
+    payload = {(r["run"], r["offset"]): r["digest"] for r in found if r["type"] == "response"}
+    fetched = warc.fetch(spark, path, index.where("type = 'response'").select("run", "offset", "length")).collect()
+    assert {(r["run"], r["offset"]): base64.b32encode(hashlib.sha1(r["payload"]).digest()).decode() for r in fetched} == payload and len(fetched) == len(payload)
     assert warc.url_key("http://www.Example.com:80/A?b#c") == "com,example)/A?b" and warc.url_key(None) == ""
 
 
@@ -391,9 +396,25 @@ def test_warc_archives_have_a_bound_in_bytes(spark, tmp_path):
     d = spark.createDataFrame([(i, f"http://a/{i}", f"{i} " * 400) for i in range(12)], "page_id long, url string, html string").coalesce(1)
     warc.write(d, str(tmp_path / "w"), archive_bytes=2600)
     assert len(glob.glob(str(tmp_path / "w" / "*.gz"))) == 6
-    assert [r["id"] for r in warc.index(warc.read(spark, str(tmp_path / "w"))).collect()] == [0, 1, 10, 11, *range(2, 10)]
+    scratch = Scratch(spark, "warc")
+    assert [r["id"] for r in warc.index(warc.read(spark, str(tmp_path / "w")), scratch).collect()] == [0, 1, 10, 11, *range(2, 10)]
     warc.write(d.where("false"), str(tmp_path / "e"))
-    assert warc.index(warc.read(spark, str(tmp_path / "w"))).count() == 12
+    assert warc.index(warc.read(spark, str(tmp_path / "e")), scratch).count() == 0
+
+
+def test_warc_index_of_repeated_rows_keeps_ranges_small_and_places_true(spark, tmp_path):
+    import glob
+
+    d = spark.createDataFrame([(7, "http://a/", "same")] * 400 + [(i, f"http://b/{i % 3}", f"{i}" * 20000) for i in range(9)], "page_id long, url string, html string").repartition(3)
+    warc.write(d, str(tmp_path / "w"), compression="none")
+    found = warc.index(warc.read(spark, str(tmp_path / "w")), Scratch(spark, "warc"), range_rows=50).withColumn("part", F.spark_partition_id()).collect()
+    assert len(found) == 409 and max(Counter(r["part"] for r in found).values()) <= 200
+    keys = [(r["url_key"], r["captured"], r["id"], r["run"], r["offset"]) for r in sorted(found, key=lambda r: r["part"])]
+    assert keys == sorted(keys)
+    files = {name.rpartition("/")[2]: open(name, "rb").read() for name in glob.glob(str(tmp_path / "w" / "*.txt"))}
+    for r in found:
+        record = files[r["run"]][r["offset"] : r["offset"] + r["length"]]
+        assert record.startswith(b"WARC/1.0\r\n") and f"<urn:page:{r['id']}>".encode() in record and record.endswith(b"\r\n\r\n")
 
 
 def test_warc_min_bytes_and_broken_archives(spark, tmp_path):
