@@ -650,3 +650,29 @@ def test_license_scan_sql_agrees_on_published_texts(spark):
     found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"))
     got = sorted((r["doc_id"], len(r["sentence_ids"]), r["n_unknown"], ",".join(r["sentence_ids"]), ",".join(r["licenses"])) for r in found.collect())
     assert got == want and queries.op10_license_scan
+
+
+def test_empty_tables_of_quality_and_bpe(spark, docs):
+    none = docs.where("false")
+    assert quality.assess(none).count() == 0 and quality.clean(none).columns == none.columns and quality.clean(none).count() == 0
+    assert bpe.encode(none, byte_bpe()).count() == 0 and bpe.digests(none, byte_bpe()).count() == 0 and bpe.tokenize(none, byte_bpe()).count() == 0
+
+
+def test_awkward_tables_keep_every_row(spark, docs, rows):
+    want = sorted((r[0] is None, r[0] or 0) for r in rows)
+    licences = licenses.scan(docs).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in licences) == want and all(not r["licenses"] for r in licences)
+    spans = pii.detect(docs, Scratch(spark, "t")).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in spans) == want
+    masked = pii.mask(docs, Scratch(spark, "t"))
+    assert sorted(masked.columns) == sorted(docs.columns) and masked.count() == len(rows)
+
+
+def test_passages_on_awkward_tables(spark, docs):
+    """Ties, repeated ids, null ids and texts of one word over and over beside two documents that share 60 words."""
+    shared = " ".join(f"s{i}" for i in range(60))
+    more = [(900 + i, f"a{i} b{i} " * 10 + shared + f" c{i}" * 10, "c", "c", "c", i) for i in (0, 1, 1)] + [(None, shared, "c", "c", "c", 0)]
+    got = passages.find(docs.where("doc_id < 60 or doc_id is null").unionByName(spark.createDataFrame(more, SCHEMA)), Scratch(spark, "t")).collect()
+    pairs = {(r["id"], r["home"]) for r in got}
+    assert {(900, 901), (901, 900)} <= pairs and not any(a is None or b is None or a == b for a, b in pairs)
+    assert all(r["end"] - r["start"] >= passages.MIN_WORDS for r in got)

@@ -62,3 +62,11 @@ def test_hot_copies(spark):
     got = jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "t"))
     assert got.where("component_id = 0").count() == 200 and got.select("component_id").distinct().count() == 401
     assert quality.judge(hot.encode())["kept"]
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
