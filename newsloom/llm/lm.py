@@ -26,7 +26,9 @@ are 0, nothing is known, and the model scores with the weights it starts from.
 
 from __future__ import annotations
 
+import math
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -50,6 +52,8 @@ WIDTH, HIDDEN, CLASSES, ROWS, NEAR = 24, 48, 96, 6144, 24
 CACHE_WORDS, CACHE_BYTES = 400_000, 64 << 20
 #: Words of training documents for each shard.
 SHARD_WORDS = 4_000_000
+#: Ids whose windows are made at a time.
+TOGETHER = 1 << 16
 RATE, SEED = 0.05, 11
 
 
@@ -153,108 +157,140 @@ class Net:
             n = int(np.prod(s))
             self.w[name] = self.flat[at : at + n].reshape(s)
             at += n
-        self.tables = None
-        mask = np.arange(2 * CONTEXT)[None, :] <= np.arange(CONTEXT)[:, None] + CONTEXT
-        self.mask = np.where(mask, 0, -1e9).astype(np.float32)
+        self.made: dict[str, np.ndarray] = {}
+        self.mask = (np.arange(2 * CONTEXT)[None, :] <= np.arange(CONTEXT)[:, None] + CONTEXT).astype(np.float32)
+
+    def __getstate__(self):
+        return self.__dict__ | {"made": {}}
+
+    def __setstate__(self, state):
+        self.__init__(state["flat"])
+
+    def _room(self, name: str, *shape: int) -> np.ndarray:
+        """Memory for an intermediate array, used again by the next call: what lies in it holds until then."""
+        size = math.prod(shape)
+        if name not in self.made or self.made[name].size < size:
+            self.made[name] = np.empty(size, np.float32)
+        return self.made[name][:size].reshape(shape)
 
     def log_classes(self, x: np.ndarray) -> np.ndarray:
         """Log probabilities of the classes after each of the last CONTEXT inputs of windows x (rows of the embedding)."""
-        return self._forward(x)["y"]
+        y = self._forward(x)["y"]
+        y = y - y.max(-1, keepdims=True)
+        return (y - np.log(np.exp(y).sum(-1, keepdims=True))).reshape(len(x), CONTEXT, -1)
 
     def log_targets(self, x: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Log probabilities of the target classes only.  What depends on one row alone is looked up in tables made once."""
-        if self.tables is None:
-            w, scale = self.w, np.float32(WIDTH**-0.5)
-            self.tables = [w["e"] @ w["q"] * scale, (w["p"] @ w["q"] * scale)[CONTEXT:], w["e"] @ w["k"], w["p"] @ w["k"], w["e"] @ (w["v"] @ w["o"]), w["p"] @ (w["v"] @ w["o"])]
-        eq, pq, ek, pk, ev, pv = self.tables
-        b, last = len(x), x[:, CONTEXT:]
-        s = (eq[last] + pq) @ (ek[x] + pk).transpose(0, 2, 1)
-        s += self.mask
-        np.minimum(s, 60, out=s)  # no overflow; scores are far below
-        np.exp(s, out=s)
-        r = s @ (ev[x] + pv)
-        r /= s.sum(-1, keepdims=True) + np.float32(1e-30)
-        r += self.w["e"][last]
-        r += self.w["p"][CONTEXT:]
-        z = r.reshape(-1, WIDTH) @ self.w["a"]
-        z += self.w["ab"]
-        np.maximum(z, 0, out=z)
-        y = z @ self.w["c"]
-        y += self.w["cb"]
-        got = y[np.arange(len(y)), target.ravel()]
-        np.minimum(y, 60, out=y)
-        np.exp(y, out=y)
-        return (got - np.log(y.sum(-1))).reshape(b, CONTEXT)
+        """Log probabilities of the target classes only."""
+        y = self._forward(x)["y"]
+        at = np.arange(len(y)) * CLASSES + target.ravel()
+        got = y.ravel()[at]
+        total, top = _exp(y)
+        return (got - top - np.log(total)).reshape(len(x), CONTEXT)
 
     def _forward(self, x: np.ndarray) -> dict:
-        w, half = self.w, slice(CONTEXT, None)
-        h = w["e"][x] + w["p"]
-        b, t, d = h.shape
-        k, v = (h.reshape(-1, d) @ w["k"]).reshape(b, t, d), (h.reshape(-1, d) @ w["v"]).reshape(b, t, d)
-        hq = np.ascontiguousarray(h[:, half])
-        q = (hq.reshape(-1, d) @ (w["q"] * np.float32(d**-0.5))).reshape(b, CONTEXT, d)
-        s = q @ k.transpose(0, 2, 1)
-        s += self.mask
-        s -= s.max(-1, keepdims=True)
-        np.exp(s, out=s)
-        s /= s.sum(-1, keepdims=True)
-        m = s @ v
-        r = hq + (m.reshape(-1, d) @ w["o"]).reshape(b, CONTEXT, d)
-        z = np.maximum(r.reshape(-1, d) @ w["a"] + w["ab"], 0)
-        y = z @ w["c"] + w["cb"]
-        y -= y.max(-1, keepdims=True)
-        y -= np.log(np.exp(y).sum(-1, keepdims=True))
-        return {"h": h, "k": k, "v": v, "hq": hq, "q": q, "s": s, "m": m, "r": r, "z": z, "y": y.reshape(b, CONTEXT, -1)}
+        """The layers, up to the classes' scores before the softmax.
+
+        With one head as wide as the embedding, the products q k' and v o of the weights do the work of all four of them.
+        """
+        w, b, d = self.w, len(x), WIDTH
+        n = b * CONTEXT
+        qk, vo = w["q"] @ w["k"].T * np.float32(d**-0.5), w["v"] @ w["o"]
+        h = np.take(w["e"], x, axis=0, out=self._room("h", b, 2 * CONTEXT, d), mode="clip")
+        h += w["p"]
+        hq = self._room("hq", b, CONTEXT, d)
+        hq[:] = h[:, CONTEXT:]
+        hq = hq.reshape(n, d)
+        a, pair = np.matmul(hq, qk, out=self._room("a", n, d)), self._room("pair", b, 2 * CONTEXT, 2 * CONTEXT)  # half of pair is for gradients
+        s = pair[:, :CONTEXT]
+        np.matmul(a.reshape(b, CONTEXT, d), h.transpose(0, 2, 1), out=s)
+        s *= np.reciprocal(_exp(s, self.mask)[0])[..., None]
+        m = np.matmul(s, h, out=self._room("m", b, CONTEXT, d)).reshape(n, d)
+        r = np.matmul(m, vo, out=self._room("r", n, d))
+        r += hq
+        z = np.matmul(r, w["a"], out=self._room("z", n, HIDDEN))
+        z += w["ab"]
+        np.maximum(z, 0, out=z)
+        y = np.matmul(z, w["c"], out=self._room("y", n, CLASSES))
+        y += w["cb"]
+        return {"qk": qk, "vo": vo, "h": h, "hq": hq, "a": a, "pair": pair, "m": m, "r": r, "z": z, "y": y}
 
     def gradients(self, x: np.ndarray, target: np.ndarray, weight: np.ndarray) -> dict:
-        """Gradients of the mean negative log probability of target classes; weight is 0 for padding."""
+        """Gradients of the mean negative log probability of target classes; weight is 0 for padding.  That of e: its rows, each once, and theirs."""
         w, f = self.w, self._forward(x)
-        b, t, d = f["h"].shape
-        flat = lambda a: a.reshape(-1, a.shape[-1])
-        dy = np.exp(flat(f["y"]))
-        dy[np.arange(len(dy)), target.ravel()] -= 1
-        dy *= (weight.ravel() / max(1.0, float(weight.sum())))[:, None]
-        g = {"c": f["z"].T @ dy, "cb": dy.sum(0)}
-        da = (dy @ w["c"].T) * (f["z"] > 0)
-        g["a"], g["ab"] = flat(f["r"]).T @ da, da.sum(0)
-        dr = da @ w["a"].T
-        g["o"] = flat(f["m"]).T @ dr
-        dm = (dr @ w["o"].T).reshape(b, CONTEXT, d)
-        ds = dm @ f["v"].transpose(0, 2, 1)
-        ds = f["s"] * (ds - (ds * f["s"]).sum(-1, keepdims=True))
-        dv = f["s"].transpose(0, 2, 1) @ dm
-        scale = np.float32(d**-0.5)
-        dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
-        g["q"] = flat(f["hq"]).T @ flat(dq) * scale
-        g["k"], g["v"] = flat(f["h"]).T @ flat(dk), flat(f["h"]).T @ flat(dv)
-        dh = (flat(dk) @ w["k"].T + flat(dv) @ w["v"].T).reshape(b, t, d)
-        dh[:, CONTEXT:] += (flat(dq) @ w["q"].T * scale + dr).reshape(b, CONTEXT, d)
-        g["p"] = dh.sum(0)
-        g["e"] = (x.ravel(), flat(dh))
+        b, d = len(x), WIDTH
+        n, small, scale = b * CONTEXT, self._room("small", b * CONTEXT, d), np.float32(d**-0.5)
+        h, hq, pair, m, r, z, dy = (f[k] for k in ("h", "hq", "pair", "m", "r", "z", "y"))
+        both = self._room("both", b, 2 * CONTEXT, d)
+        both[:, CONTEXT:] = f["a"].reshape(b, CONTEXT, d)
+        weight = weight.ravel() / np.float32(max(1.0, float(weight.sum())))
+        dy *= (weight / _exp(dy)[0])[:, None]
+        dy.ravel()[np.arange(n) * CLASSES + target.ravel()] -= weight
+        g = {"c": z.T @ dy, "cb": np.ones(n, np.float32) @ dy}
+        da = np.matmul(dy, w["c"].T, out=self._room("da", n, HIDDEN))
+        da *= z > 0
+        g["a"], g["ab"] = r.T @ da, np.ones(n, np.float32) @ da
+        dr = np.matmul(da, w["a"].T, out=r)
+        gvo = m.T @ dr
+        g["v"], g["o"] = gvo @ w["o"].T, w["v"].T @ gvo
+        np.matmul(dr, f["vo"].T, out=small)
+        dm, s, ds = both[:, :CONTEXT], pair[:, :CONTEXT], pair[:, CONTEXT:]
+        dm[:] = small.reshape(b, CONTEXT, d)
+        np.matmul(dm, h.transpose(0, 2, 1), out=ds)
+        ds -= np.einsum("ij,ij->i", small, m).reshape(b, CONTEXT, 1)  # m is the mean of h by s, so this is that of ds
+        ds *= s
+        dq = np.matmul(ds, h, out=self._room("dq", b, CONTEXT, d)).reshape(n, d)
+        gqk = hq.T @ dq * scale
+        g["q"], g["k"] = gqk @ w["k"], gqk.T @ w["q"]
+        dh = np.matmul(pair.transpose(0, 2, 1), both, out=self._room("dh", b, 2 * CONTEXT, d))
+        dr += np.matmul(dq, f["qk"].T, out=small)
+        dh[:, CONTEXT:] += dr.reshape(b, CONTEXT, d)
+        g["p"] = (np.ones(b, np.float32) @ dh.reshape(b, -1)).reshape(-1, d)
+        # inputs that a window shares with the next one are added up before all are, by row
+        shared = np.append((x[:-1, CONTEXT:] == x[1:, :CONTEXT]).all(1), False)
+        dh[:-1, CONTEXT:] += dh[1:, :CONTEXT] * shared[:-1, None, None]
+        alone = np.flatnonzero(np.append(True, ~shared[:-1]))
+        rows = np.concatenate([x[:, CONTEXT:].ravel(), x[alone, :CONTEXT].ravel()]).astype(np.uint16)
+        by = np.argsort(rows, kind="stable")
+        rows = rows[by]
+        first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+        each = np.concatenate([dh[:, CONTEXT:].reshape(-1, d), dh[alone, :CONTEXT].reshape(-1, d)])[by]
+        g["e"] = (rows[first].astype(np.int64), np.add.reduceat(each, first, axis=0))
         return g
 
     def train(self, x: np.ndarray, target: np.ndarray, weight: np.ndarray, state: dict, rate: float) -> None:
         """A step of Adagrad."""
-        for name, g in self.gradients(x, target, weight).items():
-            if name == "e":
-                by = np.argsort(g[0], kind="stable")
-                rows, first = np.unique(g[0][by], return_index=True)
-                total = np.add.reduceat(g[1][by], first, axis=0)
-                seen = state.setdefault("e", np.full(self.shapes["e"], 1e-6, np.float32))
-                seen[rows] += total**2
-                self.w["e"][rows] -= rate * total / np.sqrt(seen[rows])
-            else:
-                seen = state.setdefault(name, np.full(self.shapes[name], 1e-6, np.float32))
-                seen += g**2
-                self.w[name] -= rate * g / np.sqrt(seen)
+        g = self.gradients(x, target, weight)
+        rows, total = g.pop("e")
+        if not state:
+            state |= {"e": np.full(self.shapes["e"], 1e-6, np.float32), "rest": np.full(self.size - ROWS * WIDTH, 1e-6, np.float32)}
+        seen = state["e"][rows] + total**2
+        state["e"][rows] = seen
+        self.w["e"][rows] -= rate * total / np.sqrt(seen)
+        g = np.concatenate([g[name].ravel() for name in self.shapes if name != "e"])
+        state["rest"] += g**2
+        self.flat[ROWS * WIDTH :] -= rate * g / np.sqrt(state["rest"])  # e comes first
+
+
+def _exp(a: np.ndarray, mask: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | np.float32]:
+    """Turns scores into exponentials in place, 0 where the mask is; gives their sums along the last axis, and what was taken from the scores lest they leave the range."""
+    top = np.float32(0)
+    if not (a.max(initial=0) < 60 and a.min(initial=0) > -60):
+        if mask is not None:
+            a += (mask - 1) * np.float32(1e9)
+        top = a.max(-1, keepdims=True)
+        a -= top
+        top = top[..., 0]
+    np.exp(a, out=a)
+    if mask is not None:
+        a *= mask
+    return a @ np.ones(a.shape[-1], np.float32), top
 
 
 class Model:
     """Everything that scoring needs; all sizes are fixed by the vocabulary and the constants above."""
 
     def __init__(self, stats: np.ndarray, bpe: Bpe):
-        self.cache: dict[bytes, bytes] = {}
-        self.cached = 0
+        self._forget()
         self.bpe, self.end = bpe, bpe.special.get("<|endoftext|>", len(bpe.bytes) - 1)
         count = stats[:, 0].astype(np.float64)
         self.group = classes_of(stats)
@@ -268,76 +304,127 @@ class Model:
         self.net = Net()
         self.net.w["cb"][:] = np.log(total + many + 0.01) - np.log((total + many + 0.01).sum())
 
-    def ids(self, raws: list[bytes]) -> list[np.ndarray]:
-        """Subword ids of the words of each text, and the end."""
-        cache, greedy, out = self.cache, self.bpe.greedy, []
-        end = np.array([self.end], "<u4").tobytes()
+    def _forget(self) -> None:
+        """The words met go: the number of each, and by that the place and number of its ids, and its count."""
+        self.numbers, self.cached = _Numbers(), 0
+        self.begin, self.long, self.cut, self.count = array("q"), array("q"), array("q"), array("q")
+
+    def read(self, raws: Iterable[bytes], counts: dict[bytes, int]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+        """Of each text its words and the end, their subword ids, and their counts."""
         for raw in raws:
             words = raw.lower().split()
-            for w in set(words).difference(cache):
-                cache[w] = made = np.array(greedy(b" " + w), "<u4").tobytes()
-                self.cached += len(w) + len(made)
-            out.append(np.frombuffer(b"".join([*map(cache.__getitem__, words), end]), "<u4").astype(np.int64))
-            if len(cache) > CACHE_WORDS or self.cached > CACHE_BYTES:
-                cache.clear()
-                self.cached = 0
-        return out
+            words.append(b"")
+            at = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+            for w in self.numbers.new:
+                made = self.bpe.greedy(b" " + w) if w else [self.end]
+                self.begin.append(len(self.cut))
+                self.long.append(len(made))
+                self.count.append(counts.get(w, 0))
+                self.cut.extend(made)
+                self.cached += len(w) + 8 * len(made)
+            self.numbers.new.clear()
+            n = np.frombuffer(self.long, np.int64)[at]
+            place = np.frombuffer(self.begin, np.int64)[at] - (np.cumsum(n) - n)
+            yield words, np.frombuffer(self.cut, np.int64)[np.arange(n.sum()) + np.repeat(place, n)], np.frombuffer(self.count, np.int64)[at]
+            if len(self.numbers) > CACHE_WORDS or self.cached > CACHE_BYTES:
+                self._forget()
+
+    def ids(self, raws: Iterable[bytes]) -> list[np.ndarray]:
+        """Subword ids of the words of each text, and the end."""
+        return [ids for _, ids, _ in self.read(raws, {})]
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": {}, "cached": 0}
-
-    def windows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs, targets and weights: window i has 2 x CONTEXT inputs and scores ids i x CONTEXT and on."""
-        n = -(-len(ids) // CONTEXT)
-        x = np.zeros((n + 1) * CONTEXT, np.int64)
-        x[CONTEXT + 1 : CONTEXT + len(ids)] = self.row[ids[:-1]]
-        y, weight = np.zeros(n * CONTEXT, np.int64), np.zeros(n * CONTEXT, np.float32)
-        y[: len(ids)], weight[: len(ids)] = ids, 1
-        return np.lib.stride_tricks.sliding_window_view(x, 2 * CONTEXT)[::CONTEXT], y.reshape(n, CONTEXT), weight.reshape(n, CONTEXT)
-
-    def score(self, raws: list[bytes], chances: list[np.ndarray], block: int = 256) -> list[tuple[float, np.ndarray]]:
-        """log10 probability of each text, given each word's probability by the counts (0 if unknown), and of each word by the network.
+        return {k: v for k, v in self.__dict__.items() if k not in ("numbers", "cached", "begin", "long", "cut", "count")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._forget()
+
+    def windows(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Inputs, targets and weights of texts' ids: window i of a text has 2 x CONTEXT inputs and scores its ids i x CONTEXT and on."""
+        n = np.array([len(t) for t in texts])
+        many, nth = -(-n // CONTEXT), np.arange(len(texts))
+        ids, before = np.concatenate(texts), np.cumsum(many) - many
+        at = np.arange(len(ids)) + np.repeat(before * CONTEXT - (np.cumsum(n) - n), n)
+        y, weight = np.zeros(many.sum() * CONTEXT, np.int64), np.zeros(many.sum() * CONTEXT, np.float32)
+        y[at], weight[at] = ids, 1
+        at += np.repeat((nth + 1) * CONTEXT + 1, n)  # a text's inputs begin with a block of padding and one place more
+        x = np.zeros((many.sum() + len(texts)) * CONTEXT + 1, np.int64)
+        x[at] = self.row[ids]
+        x[at[np.cumsum(n) - 1]] = 0  # nothing follows the last id
+        x = np.lib.stride_tricks.sliding_window_view(x[:-1], 2 * CONTEXT)[::CONTEXT]
+        return x[np.arange(many.sum()) + np.repeat(nth, many)], y.reshape(-1, CONTEXT), weight.reshape(-1, CONTEXT)
+
+    def score(self, texts: list[np.ndarray], chances: list[np.ndarray]) -> list[tuple[float, np.ndarray]]:
+        """log10 probability of each text, given its ids and each word's probability by the counts (0 if unknown), and of each word by the network.
 
         A word's probability is the even mixture of that and of its ids' by the network.  Both add up to 1 at most: the network also
         gives some to ids that can't stand there, and to words cut otherwise.
         """
-        all_ids = self.ids(raws)
-        parts = [self.windows(i) for i in all_ids]
-        x, y = (np.concatenate([p[j] for p in parts]) for j in range(2))
-        got = np.empty(y.shape, np.float32)
-        for i in range(0, len(x), block):
-            s = slice(i, i + block)
-            got[s] = self.net.log_targets(x[s], self.group[y[s]]) / np.float32(np.log(10)) + self.share[y[s]]
-        got, out, at = got.ravel().astype(np.float64), [], 0
-        for ids, part, chance in zip(all_ids, parts, chances, strict=True):
-            word = np.add.reduceat(got[at : at + len(ids)], np.flatnonzero(self.starts[ids]))
-            at += part[1].size
-            out.append((float(np.logaddexp(word * np.log(10), np.log(np.maximum(chance, 1e-300))).sum() / np.log(10) - len(word) * np.log10(2)), word))
+        out = []
+        for some in _some(texts):
+            x, y, weight = self.windows(some)
+            got = np.empty(y.shape, np.float32)
+            for i in range(0, len(x), STEP):
+                s = slice(i, i + STEP)
+                got[s] = self.net.log_targets(x[s], self.group[y[s]])
+            ids, there = np.concatenate(some), chances[len(out) : len(out) + len(some)]
+            got = got[weight > 0] / np.float32(np.log(10)) + self.share[ids]
+            word = np.add.reduceat(got, np.flatnonzero(self.starts[ids]), dtype=np.float64)
+            mixed = np.logaddexp(word * np.log(10), np.log(np.maximum(np.concatenate(there), 1e-300))) / np.log(10) - np.log10(2)
+            ends = np.cumsum([len(c) for c in there])
+            out += zip(np.add.reduceat(mixed, ends - [len(c) for c in there]).tolist(), np.split(word, ends[:-1]), strict=True)
         return out
 
 
+class _Numbers(dict):
+    """Numbers words as they are met, and lists the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        self[word] = n = len(self)
+        return n
+
+
+def _some(texts: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Texts' ids in lists of some ``TOGETHER`` ids, so that what is made of them stays small."""
+    some, many = [], 0
+    for t in texts:
+        some.append(t)
+        many += len(t)
+        if many >= TOGETHER:
+            yield some
+            some, many = [], 0
+    if some:
+        yield some
+
+
 def _train_round(docs: DataFrame, model, round_: int, rounds: int, shards: int) -> DataFrame:
     """The shards' networks after all windows of this round's documents, each times the ids it saw, and that number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        m, state, seen, buffer = model.value, {}, 0, []
+        m, state, seen, rest = model.value, {}, 0, None
         net = Net(m.net.flat)
 
-        def step() -> None:
-            x, y, weight = (np.concatenate([p[j] for p in buffer]) for j in range(3))
+        def step(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
             net.train(x, m.group[y], weight, state, RATE / (1 + round_))
-            buffer.clear()
 
         for b in batches:
-            for ids in m.ids(raw_texts(b, "text")):
-                part = m.windows(ids)
-                seen += len(ids)
-                for i in range(0, len(part[0]), STEP):
-                    buffer.append([a[i : i + STEP] for a in part])
-                    if sum(len(p[0]) for p in buffer) >= STEP:
-                        step()
-        if buffer:
-            step()
+            for texts in _some(m.ids(raw_texts(b, "text"))):
+                part = m.windows(texts)
+                seen += sum(map(len, texts))
+                if rest is not None:
+                    part = [np.concatenate(p) for p in zip(rest, part, strict=True)]
+                whole = len(part[0]) // STEP * STEP
+                for i in range(0, whole, STEP):
+                    step(*(a[i : i + STEP] for a in part))
+                rest = [a[whole:] for a in part]
+        if rest is not None and len(rest[0]):
+            step(*rest)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([np.append(net.flat.astype(np.float64) * seen, float(seen)).tobytes()], pa.binary())], names=["net"])
 
@@ -383,22 +470,19 @@ def score(docs: DataFrame, bpe: Bpe, scratch: Scratch, *, id_col: str = "doc_id"
     whole = distinct <= frequent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        get, m = known.value.get, sent.value
+        m, most = sent.value, known.value
         for b in batches:
-            raws = raw_texts(b, "text")
-            n, hits, base, others, chances = [], [], [], [], []
-            for raw in raws:
-                words = raw.lower().split()
-                words.append(b"")
-                c = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
+            n, hits, base, others, chances, texts = [], [], [], [], [], []
+            for words, ids, c in m.read(raw_texts(b, "text"), most):
                 found = c > 0
                 n.append(len(words))
                 hits.append(int(found.sum()))
                 chances.append(c / max(1, total))
                 base.append(float(np.log10(c[found] + 1).sum()))
                 others.append([] if whole else [(i, words[i]) for i in np.flatnonzero(~found).tolist()])
+                texts.append(ids)
             scores, rare = [], []
-            for (score_, by_word), places in zip(m.score(raws, chances), others, strict=True):
+            for (score_, by_word), places in zip(m.score(texts, chances), others, strict=True):
                 scores.append(score_)
                 at: dict[bytes, list[float]] = {}
                 for i, w in places:

@@ -198,6 +198,65 @@ def test_lm_is_causal():
     assert np.allclose(net.log_targets(x, target), np.take_along_axis(a, target[..., None], -1)[..., 0], atol=1e-4)
 
 
+def test_lm_scores_out_of_range():
+    """Scores beyond what exponentials can hold give the same log probabilities, and none above 0, by both ways."""
+    rng = np.random.default_rng(5)
+    net = lm.Net(rng.standard_normal(lm.Net.size) * 2)
+    x, y = rng.integers(0, 50, (4, 2 * lm.CONTEXT)), rng.integers(0, lm.CLASSES, (4, lm.CONTEXT))
+    assert net.log_classes(x).min() < -200
+    got = net.log_targets(x, y)
+    assert (got <= 1e-3).all()
+    assert np.allclose(got, np.take_along_axis(net.log_classes(x), y[..., None], -1)[..., 0], rtol=1e-4, atol=1e-2)
+    assert all(np.isfinite(v[1] if k == "e" else v).all() for k, v in net.gradients(x, y, np.ones(y.shape, np.float32)).items())
+
+
+def test_lm_gradients_of_the_embedding():
+    """Rows come once each, and their gradients are right where windows overlap and where they don't."""
+    rng = np.random.default_rng(2)
+    net = lm.Net(rng.standard_normal(lm.Net.size) * 0.2)
+    run = rng.integers(1, 30, 4 * lm.CONTEXT)
+    x = np.stack([run[: 2 * lm.CONTEXT], run[lm.CONTEXT : 3 * lm.CONTEXT], rng.integers(1, 30, 2 * lm.CONTEXT)])
+    y, weight = rng.integers(0, lm.CLASSES, (3, lm.CONTEXT)), np.ones((3, lm.CONTEXT), np.float32)
+    rows, g = net.gradients(x, y, weight)["e"]
+    assert rows.tolist() == sorted(set(x.ravel().tolist()))
+
+    def loss():
+        return -np.take_along_axis(net.log_classes(x), y[..., None], -1).mean(dtype=np.float64)
+
+    for i in rng.permutation(len(rows))[:8]:
+        j, step = int(np.abs(g[i]).argmax()), 1e-2
+        old = net.w["e"][rows[i], j]
+        net.w["e"][rows[i], j] = old + step
+        up = loss()
+        net.w["e"][rows[i], j] = old - step
+        down = loss()
+        net.w["e"][rows[i], j] = old
+        assert (up - down) / (2 * step) == pytest.approx(g[i, j], rel=0.08, abs=2e-4)
+
+
+def test_lm_reads_and_windows(monkeypatch):
+    """Words, ids and counts are the same after what was met is forgotten; each id is a target once, after those before it."""
+    texts = [b"", b"Fox  fox\njumped over", b"a " * 100, bytes(range(97, 123)) * 3, b"fox " * 15, b"over jumped"]
+    model = lm.Model(np.ones((len(byte_bpe().bytes), 1 + 2 * lm.NEAR), np.float32), byte_bpe())
+    first = list(model.read(texts, {b"fox": 7, b"": 3}))
+    assert [w for w, _, _ in first] == [t.lower().split() + [b""] for t in texts]
+    assert first[1][2].tolist() == [7, 7, 0, 0, 3]
+    for words, ids, _ in first:
+        assert ids.tolist() == [i for w in words for i in (byte_bpe().greedy(b" " + w) if w else [model.end])]
+    monkeypatch.setattr(lm, "CACHE_WORDS", 1)
+    again = list(model.read(texts, {b"fox": 7, b"": 3}))
+    assert all(a[0] == b[0] and (a[1] == b[1]).all() and (a[2] == b[2]).all() for a, b in zip(first, again, strict=True))
+    all_ids = [ids for _, ids, _ in first] + [np.arange(n) for n in (lm.CONTEXT - 1, lm.CONTEXT, lm.CONTEXT + 1)]
+    x, y, weight = model.windows(all_ids)
+    want = []
+    for ids in all_ids:
+        before = np.concatenate([np.zeros(lm.CONTEXT + 1, np.int64), model.row[ids[:-1]], np.zeros(lm.CONTEXT, np.int64)])
+        for i in range(0, len(ids), lm.CONTEXT):
+            mine = ids[i : i + lm.CONTEXT].tolist()
+            want.append((before[i : i + 2 * lm.CONTEXT].tolist(), mine + [0] * (lm.CONTEXT - len(mine)), [1.0] * len(mine) + [0.0] * (lm.CONTEXT - len(mine))))
+    assert [(a.tolist(), b.tolist(), c.tolist()) for a, b, c in zip(x, y, weight, strict=True)] == want
+
+
 def _pii_base(t):
     kinds = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
     out = []
