@@ -6,9 +6,13 @@ otherwise leaves the join to shuffle.  Containment joins are blocked by shared b
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import itertools
+import math
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,16 +93,26 @@ def indel_ratio(a: str, b: str) -> float:
     """100 x (1 - insertions and deletions / total length), by the longest common subsequence."""
     if not a and not b:
         return 100.0
-    row = [0] * (len(b) + 1)
-    for x in a:
-        above = 0
-        for j, y in enumerate(b):
-            above, row[j + 1] = row[j + 1], above + 1 if x == y else max(row[j + 1], row[j])
-    return 200.0 * row[-1] / (len(a) + len(b))
+    return 200.0 * _common(a, b) / (len(a) + len(b))
+
+
+def _common(a: str, b: str) -> int:
+    """Length of the longest common subsequence, a row of the table in the bits of one number."""
+    places: dict[str, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for y in b:
+        hit = row & places.get(y, 0)
+        row = (row + hit | row - hit) & full
+    return len(a) - row.bit_count()
 
 
 def _partial(a: str, b: str) -> float:
     a, b = (a, b) if len(a) <= len(b) else (b, a)
+    if a and a in b:
+        return 100.0
     return max((indel_ratio(a, b[i : i + len(a)]) for i in range(len(b) - len(a) + 1)), default=0.0) if a else 0.0
 
 
@@ -107,24 +121,150 @@ def weighted_ratio(a: str, b: str) -> float:
     if not a or not b:
         return 0.0
     longer = max(len(a), len(b)) / min(len(a), len(b))
-    x, y = a.split(), b.split()
-    sort = indel_ratio(" ".join(sorted(x)), " ".join(sorted(y)))
-    common, only_a, only_b = sorted({*x} & {*y}), sorted({*x} - {*y}), sorted({*y} - {*x})
-    head = " ".join(common)
-    forms = [head, " ".join([*common, *only_a]), " ".join([*common, *only_b])]
-    sets = 100.0 if common and (not only_a or not only_b) else max(indel_ratio(forms[i], forms[j]) for i, j in ((0, 1), (0, 2), (1, 2)))
-    tokens = 0.95 * max(sort, sets)
+    x, y, whole = a.split(), b.split(), indel_ratio(a, b)
+    if x == [a] and y == [b]:
+        tokens = 0.95 * whole
+    else:
+        sort = indel_ratio(" ".join(sorted(x)), " ".join(sorted(y)))
+        common, only_a, only_b = sorted({*x} & {*y}), sorted({*x} - {*y}), sorted({*y} - {*x})
+        head = " ".join(common)
+        forms = [head, " ".join([*common, *only_a]), " ".join([*common, *only_b])]
+        sets = 100.0 if common and (not only_a or not only_b) else max(indel_ratio(forms[i], forms[j]) for i, j in ((0, 1), (0, 2), (1, 2)))
+        tokens = 0.95 * max(sort, sets)
     if longer < 1.5:
-        return max(indel_ratio(a, b), tokens)
-    scale = 0.9 if longer < 8 else 0.6
-    return max(indel_ratio(a, b), scale * _partial(a, b), scale * tokens)
+        return max(whole, tokens)
+    scale = _scale(longer)
+    return max(whole, scale * _partial(a, b), scale * tokens)
+
+
+def _scale(longer: float) -> float:
+    return 0.9 if longer < 8 else 0.6
+
+
+#: Subsequences of two names up to which these are their keys; names with more are cut into pieces.
+VARIANTS = 1000
+#: What splits a name into words though normalising leaves it there.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+
+
+def _pieces(n: int, many: int) -> list[tuple[int, int]]:
+    """Beginnings and ends of so many pieces of nearly equal length."""
+    return [(n * i // many, n * (i + 1) // many) for i in range(many)]
+
+
+def _grams(s: str) -> set[str]:
+    return {s[i : i + 2] for i in range(len(s) - 1)}
+
+
+def _keys_for(s: str, n: int, short: bool, tag: str, least: float) -> Iterable[str]:
+    """Keys of a name for those of length n: two names whose ratio reaches the least, and that share a bigram, share a key.
+
+    Ratios of names without words are that of the common subsequence, and that of the shorter name with the windows of the
+    longer.  Names that are near enough have a common subsequence of the least length; if there are too many of those, one of
+    the shorter's pieces, more by one than insertions and deletions, is whole in the longer, moved by no more than these.
+    """
+    both = len(s) + n
+    small, large = min(len(s), n), max(len(s), n)
+    need = max(0, math.ceil(least * both / 200 - 1e-6))
+    if need <= small:
+        ops = both - 2 * need
+        if math.comb(small, need) + math.comb(large, need) <= VARIANTS:
+            yield from (f"v{tag}{v}" for v in {"".join(c) for c in itertools.combinations(s, need)})
+        elif small // (ops + 1) < 2:
+            yield from (f"g{tag}{g}" for g in _grams(s))
+        else:
+            for i, (p, q) in enumerate(_pieces(small, ops + 1)):
+                at = (p,) if short else range(max(0, p - small + need), min(large - q + p, p + large - need) + 1)
+                yield from (f"p{tag}{i}:{x}" for x in {s[j : j + q - p] for j in at})
+    if large / small >= 1.5:
+        need = max(0, math.ceil(least / _scale(large / small) * small / 100 - 1e-6))
+        if need <= small:
+            ops = 2 * (small - need)
+            if small // (ops + 1) < 2:
+                yield from (f"g{tag}{g}" for g in _grams(s))
+            else:
+                for i, (p, q) in enumerate(_pieces(small, ops + 1)):
+                    at = (p,) if short else range(large - q + p + 1)
+                    yield from (f"w{tag}{i}:{x}" for x in {s[j : j + q - p] for j in at})
+
+
+def _keys(others: list[int], other_odd: bool, surface: bool, least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]:
+    """key, norm of each name, for the lengths that the other side has; names with separators go by their bigrams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 500):
+                keys: list[str] = []
+                norms: list[str] = []
+                for s in b.column(0)[at : at + 500].to_pylist():
+                    odd = any(x in s for x in _SEPARATORS)
+                    got = {f"{'AB'[not surface]}{g}" for g in _grams(s)} if odd else set()
+                    if other_odd:
+                        got |= {f"{'AB'[surface]}{g}" for g in _grams(s)}
+                    for n in others:
+                        short = len(s) < n or (len(s) == n and not surface)
+                        got.update(_keys_for(s, n, short, f"{len(s)}:{n}:" if surface else f"{n}:{len(s)}:", least))
+                    keys += got
+                    norms += [s] * len(got)
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(norms, pa.string())], names=["key", "norm"])
+
+    return run
+
+
+def ratios(a: list[str], b: list[str]) -> np.ndarray:
+    """Weighted ratios of pairs; those of like lengths without words are worked out together."""
+    if not a:
+        return np.zeros(0)
+    la, lb = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+    low, high = np.minimum(la, lb), np.maximum(la, lb)
+    plain = (low > 0) & (high < 64) & (high < 1.5 * low) & np.array([x.split() == [x] and y.split() == [y] for x, y in zip(a, b, strict=True)])
+    out = np.zeros(len(a))
+    for at in np.array_split(np.flatnonzero(plain), max(1, int(plain.sum()) // 10_000)):
+        if len(at):
+            out[at] = 200.0 * _common_of_many([a[i] for i in at], la[at], [b[i] for i in at], lb[at]) / (la[at] + lb[at])
+    for i in np.flatnonzero(~plain):
+        out[i] = weighted_ratio(a[i], b[i])
+    return out
+
+
+def _common_of_many(a: list[str], la: np.ndarray, b: list[str], lb: np.ndarray) -> np.ndarray:
+    """As _common, for pairs of up to 63 characters."""
+    x, y = (np.array(s).view(np.uint32).reshape(len(s), -1).T.copy() for s in (a, b))
+    full = (np.uint64(1) << la.astype(np.uint64)) - np.uint64(1)
+    row = full.copy()
+    for j in range(len(y)):
+        hit = np.zeros(len(a), np.uint64)
+        for i in range(len(x)):
+            hit |= (x[i] == y[j]).astype(np.uint64) << np.uint64(i)
+        hit = np.where(j < lb, hit & row, np.uint64(0))
+        row = (row + hit | row - hit) & full
+    return la - np.bitwise_count(row).astype(np.int64)
+
+
+def near_names(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """norm, other, score: pairs of different rows of left and right (norm) that share a bigram and reach the least ratio."""
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sides = [x.where(F.length("norm") >= 2).select("norm").distinct().repartition(parts, F.xxhash64("norm")) for x in (left, right)]
+    seen = [x.agg(F.collect_set(F.length("norm")).alias("n"), F.coalesce(F.bool_or(F.col("norm").rlike(f"[{_SEPARATORS}]")), F.lit(False)).alias("odd")).first() for x in sides]
+    keyed = [x.mapInArrow(_keys(sorted(o["n"]), o["odd"], i == 0, least), "key string, norm string").select(F.xxhash64("key").alias("key"), "norm") for i, (x, o) in enumerate(zip(sides, reversed(seen), strict=True))]
+    near = keyed[0].join(keyed[1].withColumnRenamed("norm", "other"), "key").select("norm", "other").distinct()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        for f in frames:
+            score = ratios(f["norm"].tolist(), f["other"].tolist())
+            near = [score[i] >= least * (1 - 1e-9) and bool(_grams(a) & _grams(b)) for i, (a, b) in enumerate(zip(f["norm"], f["other"], strict=True))]
+            out = f.assign(score=score / 100)[near]
+            yield out[out["score"] * 100 >= least]
+
+    return near.mapInPandas(run, "norm string, other string, score double")
 
 
 def link_names(mentions: DataFrame, surface: str, order: str, companies: DataFrame, full_name: str, *, least: float = 88.0, most: int = 3) -> DataFrame:
     """surface, full_name, score: exact (1.0), else equal when normalised (0.95, all of them), else fuzzy.
 
     Surfaces of one character are passed over; a full name is given to the first surface that reaches it, in their order.
-    Fuzzy candidates share a bigram with the surface; only what the two joins leave over is compared in Python.
+    Fuzzy candidates share a bigram with the surface, and a key of ``near_names``; only what the two joins leave over is
+    compared in Python, each pair of normalised names once.
     """
     m = mentions.select(F.col(surface).alias("surface"), F.col(order).alias("ord")).where(F.length("surface") >= 2).groupBy("surface").agg(F.min("ord").alias("ord"))
     c = companies.select(F.col(full_name).alias("full_name")).where("full_name is not null").distinct().withColumn("norm", t.normalize_company("full_name"))
@@ -132,17 +272,8 @@ def link_names(mentions: DataFrame, surface: str, order: str, companies: DataFra
     rest = m.join(exact.select("surface"), "surface", "left_anti").withColumn("norm", t.normalize_company("surface"))
     equal = rest.join(small(c), "norm").select("surface", "ord", "full_name", F.lit(0.95).alias("score"))
     left = rest.join(equal.select("surface"), "surface", "left_anti")
-    keyed = left.select("surface", "ord", "norm", F.explode(F.array_distinct(bigrams(F.col("norm")))).alias("key"))
-    names = c.select("full_name", F.col("norm").alias("other"), F.explode(F.array_distinct(bigrams(F.col("norm")))).alias("key"))
-    near = keyed.join(small(names), "key").select("surface", "ord", "norm", "full_name", "other").distinct()
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-        for f in frames:
-            score = [weighted_ratio(a, b) for a, b in zip(f["norm"], f["other"], strict=True)]
-            out = f[["surface", "ord", "full_name"]].assign(score=pd.Series(score, index=f.index, dtype=float) / 100)
-            yield out[out["score"] * 100 >= least]
-
-    fuzzy = near.mapInPandas(run, "surface string, ord long, full_name string, score double")
+    scored = near_names(left, c, least)
+    fuzzy = left.join(scored, "norm").join(c.withColumnRenamed("norm", "other"), "other").select("surface", "ord", "full_name", "score")
     top = fuzzy.withColumn("rn", F.row_number().over(Window.partitionBy("surface").orderBy(F.desc("score"), "full_name"))).where(F.col("rn") <= most).drop("rn")
     every = exact.union(equal).union(top)
     w = Window.partitionBy("full_name").orderBy("ord", F.desc("score"), "surface")

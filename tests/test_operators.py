@@ -68,6 +68,30 @@ def test_weighted_ratio():
     assert linking.indel_ratio("abcd", "abed") == pytest.approx(75)
 
 
+def test_near_names_against_all_pairs_in_few_comparisons(spark):
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            above = 0
+            for j, y in enumerate(b):
+                above, row[j + 1] = row[j + 1], above + 1 if x == y else max(row[j + 1], row[j])
+        return row[-1]
+
+    rng = np.random.default_rng(2)
+    names = [f"Supplier#{i:09d}" for i in range(300)] + ["".join(rng.choice(list("abcd"), n)) for n in (2, 3, 5, 9, 24, 40, 50) for _ in range(6)]
+    names += ["ab\x1ccd", "银行甲乙丙丁戊己"]
+    near = ["x" + s for s in names] + [s[1:-1] + "y" for s in names if len(s) > 8] + [s[:10] + "z" + s[12:] for s in names if len(s) > 30] + ["cd\x1cab", "甲乙丙丁戊己", "q" * 12 + names[-4] + "r" * 15]
+    assert all(linking._common(a, b) == common(a, b) for a, b in zip(near, names, strict=False))
+    assert linking.ratios(near[: len(names)], names).tolist() == [linking.weighted_ratio(a, b) for a, b in zip(near, names, strict=False)]
+    left, right = (spark.createDataFrame([(s,) for s in x], "norm string") for x in (near, names))
+    got = {(r["norm"], r["other"], r["score"]) for r in linking.near_names(left, right, 88.0).collect()}
+    shares = lambda a, b: bool(linking._grams(a) & linking._grams(b))
+    want = {(a, b, linking.weighted_ratio(a, b) / 100) for a in near for b in names if shares(a, b) and linking.weighted_ratio(a, b) >= 88}
+    assert want and got == want
+    one, other = ("xSupplier#000012345", "Supplier#000067890")
+    assert not set(linking._keys_for(one, 18, False, "", 88.0)) & set(linking._keys_for(other, 19, True, "", 88.0))
+
+
 def test_near_duplicates_against_brute_force(spark):
     base = "the quick brown fox jumps over the lazy dog near the river bank " * 2
     texts = [base, base + "x", "wholly different words in this other sentence", "abc", "abc", None, "  " + base]
