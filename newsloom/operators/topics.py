@@ -72,12 +72,16 @@ def tokens(rows: DataFrame, text: str, stop: DataFrame | None = None, *keep: str
 
 
 def keywords(toks: DataFrame, topic: str, most: int = 10) -> DataFrame:
-    """topic, rank, word, weight: share in the topic x ln(1 + average topic length / frequency)."""
-    tf = toks.groupBy(topic, "token").agg(F.count("*").alias("n"))
+    """topic, rank, word, weight: share in the topic x ln(1 + average topic length / frequency).
+
+    Counts are written once, and all else is of them: tokens, which may be a cut of long texts, are made once only.
+    """
+    scratch = Scratch(toks.sparkSession, "keywords")
+    tf = scratch.keep(toks.groupBy(topic, "token").agg(F.count("*").alias("n")), "counts")
     size = tf.groupBy(topic).agg(F.sum("n").alias("total"))
-    freq = tf.groupBy("token").agg(F.sum("n").alias("f"))
     mean = size.agg(F.avg("total").alias("a"))  # one row
-    w = tf.join(size, topic).join(freq, "token").crossJoin(F.broadcast(mean)).select(topic, F.col("token").alias("word"), (F.col("n") / F.col("total") * F.log(1 + F.col("a") / F.col("f"))).alias("weight"))
+    freq = tf.withColumn("f", F.sum("n").over(Window.partitionBy("token")))
+    w = freq.join(size, topic).crossJoin(F.broadcast(mean)).select(topic, F.col("token").alias("word"), (F.col("n") / F.col("total") * F.log(1 + F.col("a") / F.col("f"))).alias("weight"))
     r = w.withColumn("rank", F.row_number().over(Window.partitionBy(topic).orderBy(F.desc(F.round("weight", 12)), "word")))
     return r.where(F.col("rank") <= most).select(topic, "rank", "word", "weight")
 

@@ -128,6 +128,19 @@ def test_all_equal_and_empty_texts(spark):
     assert similar.near_duplicate_groups(df.where("i > 5"), "i", "t", Scratch(spark, "t")).count() == 0
 
 
+def test_keywords_take_tokens_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        made.add(1)
+        return x
+
+    toks = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "b")], "topic int, token string").withColumn("token", F.udf(seen, "string").asNondeterministic()("token"))
+    got = [(r["topic"], r["rank"], r["word"], round(r["weight"], 9)) for r in topics.keywords(toks, "topic").orderBy("topic", "rank").collect()]
+    assert got == [(1, 1, "a", round(2 / 3 * math.log(2), 9)), (1, 2, "b", round(1 / 3 * math.log(2), 9)), (2, 1, "b", round(math.log(2), 9))]
+    assert made.value == 4
+
+
 def test_keyword_pick_without_keywords_takes_the_longest(spark):
     rows = spark.createDataFrame([(1, 0, "aa"), (1, 1, "bbbb"), (1, 2, "cccc")], "topic int, o int, s string")
     words = spark.createDataFrame([], "topic int, keywords array<struct<word:string,weight:double>>")
