@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..sources.scratch import Scratch
 
 #: Rows of a dictionary up to which it is broadcast.
 DICTIONARY_ROWS = 200_000
@@ -76,16 +77,23 @@ def normalize_industry(surfaces: DataFrame, surface: str, standard: DataFrame, n
 def dictionary_hits(texts: DataFrame, id_col: str, text: str, names: DataFrame, name: str, order: str, most: int = 20) -> DataFrame:
     """id, hits: the first so many names, in dictionary order, that the text contains.
 
-    A text gives what stands at each of its places, as far as the longest name goes; names are joined to it by their first
-    two characters, and what stands there must begin with the name.  No row has the whole text.
+    A text gives what stands at each of its places, as far as the longest name goes; names are joined to it by as many
+    first characters as the shortest name (of two or more) has, and what stands there must begin with the name.  No row has
+    the whole text; names are written once, and single characters are looked for only if one is a name.
     """
-    n = names.select(F.col(name).alias("name"), F.col(order).alias("ord")).where("name is not null and length(name) >= 2").withColumn("key", F.left("name", F.lit(2)))
-    longest = n.agg(F.max(F.length("name"))).first()[0] or 2
-    here = F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{2,{longest}}}))"), F.lit(1))
-    k = texts.select(id_col, F.explode(F.array_distinct(here)).alias("here")).withColumn("key", F.left("here", F.lit(2)))
-    hit = k.join(small(n), "key").where(F.startswith("here", "name")).select(id_col, "name", "ord").distinct()
-    one = texts.select(id_col, F.explode(F.array_distinct(F.split(F.col(text), ""))).alias("name")).join(small(names.select(F.col(name).alias("name"), F.col(order).alias("ord")).where("length(name) = 1")), "name").select(id_col, "name", "ord")
-    ranked = hit.union(one).withColumn("rn", F.row_number().over(Window.partitionBy(id_col).orderBy("ord"))).where(F.col("rn") <= most)
+    every = Scratch(texts.sparkSession, "names").keep(names.select(F.col(name).alias("name"), F.col(order).alias("ord")).where("name <> ''"), "names")
+    length = F.length("name")
+    shortest, longest, single = every.agg(F.min(F.when(length >= 2, length)), F.max(length), F.count_if(length == 1)).first()
+    hit = every.limit(0).select(F.lit(None).cast(texts.schema[id_col].dataType).alias(id_col), "name", "ord")
+    if shortest:
+        n = every.where(length >= 2).withColumn("key", F.left("name", F.lit(shortest)))
+        here = F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{shortest},{longest}}}))"), F.lit(1))
+        k = texts.select(id_col, F.explode(F.array_distinct(here)).alias("here")).withColumn("key", F.left("here", F.lit(shortest)))
+        hit = k.join(small(n), "key").where(F.startswith("here", "name")).select(id_col, "name", "ord").distinct()
+    if single:
+        one = texts.select(id_col, F.explode(F.array_distinct(F.split(F.col(text), ""))).alias("name")).join(small(every.where(length == 1)), "name").select(id_col, "name", "ord")
+        hit = hit.union(one)
+    ranked = hit.withColumn("rn", F.row_number().over(Window.partitionBy(id_col).orderBy("ord"))).where(F.col("rn") <= most)
     return ranked.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "name"))), lambda x: x["name"]).alias("hits"))
 
 

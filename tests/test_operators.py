@@ -54,6 +54,22 @@ def test_industries(spark):
     assert got == {"银行板块": "银行", "大银行": "银行", "商业": "商业银行", "板块": None, None: None}
 
 
+def test_dictionary_names_are_worked_out_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        made.add(1)
+        return x
+
+    names = spark.createDataFrame([("abc", 3), ("abcde", 1), ("bcd", 2), ("", 4), (None, 5)], "name string, k long").withColumn("name", F.udf(seen, "string").asNondeterministic()("name"))
+    texts = spark.createDataFrame([(1, "xabcdex"), (2, "abc"), (3, "ab"), (4, None)], "i long, t string")
+    hits = lambda n: {r["i"]: r["hits"] for r in linking.dictionary_hits(texts, "i", "t", n, "name", "k").collect()}
+    assert hits(names) == {1: ["abcde", "bcd", "abc"], 2: ["abc"]}
+    assert made.value == 5
+    more = spark.createDataFrame([("x", 0), ("de", 1)], "name string, k long")
+    assert hits(more) == {1: ["x", "de"]} and hits(more.where("k = 0")) == {1: ["x"]} and hits(more.where("k > 5")) == {}
+
+
 def test_names_cascade(spark):
     c = spark.createDataFrame([("甲乙科技股份有限公司",), ("丙丁银行有限公司",)], "full string")
     m = spark.createDataFrame([("甲乙科技股份有限公司", 0), ("丙丁银行", 1), ("丙", 2)], "s string, o long")
