@@ -106,24 +106,42 @@ def topic_info(rows: DataFrame, topic: str, words: DataFrame, text: str, order:
     return g.join(words, topic, "left").withColumn("name", F.concat_ws("_", F.col(topic).cast("string"), F.slice("words", 1, 4)))
 
 
-#: Vectors in a cell: any two cells meet in one task.
-CELL = 2000
+#: Vectors in a cell, at the least and at the most, and cells in between: each vector goes to as many tasks as there are cells.
+CELL, CELLS, MOST = 2000, 24, 50_000
+#: Vectors a side of the products that are held at once.
+TILE = 1000
+
+
+def cells_of(n: int) -> int:
+    """Cells for so many vectors: no more than CELLS, so that the shuffle grows with the vectors, until a cell would be too large."""
+    return max(1, min(-(-n // CELL), CELLS), -(-n // MOST))
 
 
 def _linked(least: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Of all vectors given, links of each to the first of its component: no more rows than vectors, however many are alike."""
+    """Of a pair of cells, or of a cell and itself, links of each vector to the first of its component: no more rows than vectors, however many are alike."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         m = np.array(rows["__v"].tolist(), np.float64)
-        close, label = m @ m.T >= least, np.arange(len(m))
-        while True:
-            low = np.minimum(label, np.where(close, label, len(m)).min(axis=1))
-            low = low[low]
-            if (low == label).all():
-                break
-            label = low
+        left = rows["cell"].to_numpy() == rows["i"].to_numpy()
+        a = np.flatnonzero(left)
+        same = len(a) == len(m)
+        b = a if same else np.flatnonzero(~left)
+        if same and rows["i"].iloc[0] != rows["j"].iloc[0]:
+            b = b[:0]  # a block without vectors in the other cell
+        root = np.arange(len(m))
+        for x in range(0, len(a), TILE):
+            for y in range(x if same else 0, len(b), TILE):
+                p, q = a[x : x + TILE], b[y : y + TILE]
+                i, j = np.nonzero(m[p] @ m[q].T >= least)
+                i, j = root[p[i]], root[q[j]]
+                while len(i := i[(differ := i != j)]):
+                    j = j[differ]
+                    np.minimum.at(root, np.maximum(i, j), np.minimum(i, j))
+                    while (root[root] != root).any():
+                        root = root[root]
+                    i, j = root[i], root[j]
         node = rows["node"].to_numpy()
-        out = pd.DataFrame({"u": node, "v": node[label]})
+        out = pd.DataFrame({"u": node, "v": node[root]})
         return out[out["u"] != out["v"]]
 
     return run
@@ -132,15 +150,14 @@ def _linked(least: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
 def density_topics(rows: DataFrame, key: str, vector: str, scratch: Scratch, least: float = 0.8, min_size: int = 5, block_col: str | None = None) -> DataFrame:
     """Default clusterer: connected components at a cosine threshold within blocks, of min_size or more; others are -1.
 
-    All vectors of a block, or all if no block is given, are compared with each other: cell by cell, n^2 products in all.
+    All vectors of a block, or all if no block is given, are compared with each other: cell by cell, n^2 / 2 products in all.
     A topic is named by its least key, so equal input gives equal labels.
     """
     v = rows.select(F.col(key).cast("long").alias("key"), unit(vector).alias("__v"), (F.col(block_col) if block_col else F.lit(0)).alias("block"))
     known = v.where("key is not null and __v is not null and block is not null").select("block", F.size("__v").alias("size"), "__v", F.xxhash64("key").alias("node"))
-    cells = max(1, -(-known.count() // CELL))
-    cell = F.pmod(F.col("node"), F.lit(cells))
-    other = F.explode(F.sequence(F.lit(0), F.lit(cells - 1)) if cells == 1 else F.filter(F.sequence(F.lit(0), F.lit(cells - 1)), lambda o: o != cell))
-    met = known.withColumn("other", other).withColumn("i", F.least(cell, "other")).withColumn("j", F.greatest(cell, "other"))
+    cells = cells_of(known.count())
+    cell, other = F.pmod(F.col("node"), F.lit(cells)), F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))
+    met = known.withColumn("cell", cell).withColumn("other", other).withColumn("i", F.least("cell", "other")).withColumn("j", F.greatest("cell", "other"))
     links = scratch.keep(met.groupBy("block", "size", "i", "j").applyInPandas(_linked(least), "u long, v long"), "density")
     if links.isEmpty():
         return v.select(F.col("key").alias(key), F.lit(-1).cast("long").alias("topic_id"))

@@ -189,6 +189,24 @@ def test_density_topics_against_brute_force(spark, monkeypatch, cell):
     assert groups(got.get) == {g for g in groups(lambda k: int(root[k])) if len(g) >= 5}
 
 
+def test_density_topics_with_few_cells(spark, monkeypatch):
+    assert [topics.cells_of(n) for n in (0, 2000, 2001, 100_000, 600_000, 6_000_000)] == [1, 1, 2, 24, 24, 120]
+    for name, value in (("CELL", 10), ("CELLS", 3), ("TILE", 7)):
+        monkeypatch.setattr(topics, name, value)
+    rng = np.random.default_rng(4)
+    x = np.concatenate([np.repeat(rng.standard_normal((4, 16)), 30, axis=0) + 0.05 * rng.standard_normal((120, 16)), rng.standard_normal((30, 16))])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    root = np.arange(len(x))
+    for i, j in np.argwhere(unit @ unit.T >= 0.8):
+        root[root == max(root[i], root[j])] = min(root[i], root[j])
+    size = np.bincount(root, minlength=len(x))
+    rows = spark.createDataFrame([(i, v.tolist(), i % 50) for i, v in enumerate(x)], "k long, v array<double>, b long")
+    got = {r["k"]: r["topic_id"] for r in topics.density_topics(rows, "k", "v", Scratch(spark, "t")).collect()}
+    assert got == {i: int(root[i]) if size[root[i]] >= 5 else -1 for i in range(len(x))}
+    alone = topics.density_topics(rows, "k", "v", Scratch(spark, "t"), min_size=2, block_col="b").collect()
+    assert {r["topic_id"] for r in alone} == {-1}
+
+
 def test_cluster_ids_are_stable(spark):
     rows = spark.createDataFrame([("a", 0, "e1"), ("a", 1, None), ("b", 2, None)], "c string, o int, e string")
     got = {r["o"]: r["cluster_id"] for r in buckets.with_cluster_id(rows, "c", "o", "e").collect()}
