@@ -6,6 +6,7 @@ otherwise leaves the join to shuffle.  Containment joins are blocked by shared b
 
 from __future__ import annotations
 
+import heapq
 import itertools
 import math
 from collections.abc import Callable, Iterable, Iterator
@@ -79,11 +80,17 @@ def dictionary_hits(texts: DataFrame, id_col: str, text: str, names: DataFrame,
 
     A text gives what stands at each of its places, as far as the longest name goes; names are joined to it by as many
     first characters as the shortest name (of two or more) has, and what stands there must begin with the name.  No row has
-    the whole text; names are written once, and single characters are looked for only if one is a name.
+    the whole text; names are written once, and single characters are looked for only if one is a name.  Up to
+    ``DICTIONARY_ROWS`` names go to the texts instead, and each text gives no more than the first so many.
     """
     every = Scratch(texts.sparkSession, "names").keep(names.select(F.col(name).alias("name"), F.col(order).alias("ord")).where("name <> ''"), "names")
     length = F.length("name")
-    shortest, longest, single = every.agg(F.min(F.when(length >= 2, length)), F.max(length), F.count_if(length == 1)).first()
+    shortest, longest, single, n_names = every.agg(F.min(F.when(length >= 2, length)), F.max(length), F.count_if(length == 1), F.count("*")).first()
+    if n_names <= DICTIONARY_ROWS:
+        listed = [r["name"] for r in every.distinct().orderBy("ord", "name").collect()]
+        kept = texts.select(id_col, text).withColumnRenamed(text, "__text")
+        first = kept.mapInArrow(_first_names(listed, most), kept.select(id_col).withColumns({"ord": F.lit(0), "name": F.lit("")}).schema)
+        return _ranked(first.distinct(), id_col, most)
     hit = every.limit(0).select(F.lit(None).cast(texts.schema[id_col].dataType).alias(id_col), "name", "ord")
     if shortest:
         n = every.where(length >= 2).withColumn("key", F.left("name", F.lit(shortest)))
@@ -93,10 +100,37 @@ def dictionary_hits(texts: DataFrame, id_col: str, text: str, names: DataFrame,
     if single:
         one = texts.select(id_col, F.explode(F.array_distinct(F.split(F.col(text), ""))).alias("name")).join(small(every.where(length == 1)), "name").select(id_col, "name", "ord")
         hit = hit.union(one)
+    return _ranked(hit, id_col, most)
+
+
+def _ranked(hit: DataFrame, id_col: str, most: int) -> DataFrame:
     ranked = hit.withColumn("rn", F.row_number().over(Window.partitionBy(id_col).orderBy("ord"))).where(F.col("rn") <= most)
     return ranked.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "name"))), lambda x: x["name"]).alias("hits"))
 
 
+def _first_names(listed: list[str], most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]:
+    """id, place, name of the first so many names of a list that each text contains, by its pieces of the names' lengths."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        places: dict[str, list[int]] = {}
+        for i, name in enumerate(listed):
+            places.setdefault(name, []).append(i)
+        lengths = sorted({len(name) for name in listed})
+        for b in batches:
+            row: list[int] = []
+            place: list[int] = []
+            for r, x in enumerate(b.column(1).to_pylist()):
+                if x:
+                    found = (places.keys() & {x[i : i + n] for i in range(len(x) - n + 1)} for n in lengths)
+                    got = heapq.nsmallest(most, (p for names in found for name in names for p in places[name]))
+                    row += [r] * len(got)
+                    place += got
+            names = pa.array([listed[p] for p in place], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row, pa.int64())), pa.array(place, pa.int32()), names], names=[b.schema.names[0], "ord", "name"])
+
+    return run
+
+
 def indel_ratio(a: str, b: str) -> float:
     """100 x (1 - insertions and deletions / total length), by the longest common subsequence."""
     if not a and not b:

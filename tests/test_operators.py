@@ -54,7 +54,9 @@ def test_industries(spark):
     assert got == {"银行板块": "银行", "大银行": "银行", "商业": "商业银行", "板块": None, None: None}
 
 
-def test_dictionary_names_are_worked_out_once(spark):
+@pytest.mark.parametrize("most_names", [linking.DICTIONARY_ROWS, 0])
+def test_dictionary_names_are_worked_out_once(spark, monkeypatch, most_names):
+    monkeypatch.setattr(linking, "DICTIONARY_ROWS", most_names)
     made = spark.sparkContext.accumulator(0)
 
     def seen(x):
@@ -67,6 +69,8 @@ def test_dictionary_names_are_worked_out_once(spark):
     assert hits(names) == {1: ["abcde", "bcd", "abc"], 2: ["abc"]}
     assert made.value == 5
     more = spark.createDataFrame([("x", 0), ("de", 1)], "name string, k long")
+    few = linking.dictionary_hits(texts.union(spark.createDataFrame([(1, "de"), (2, "abcd")], "i long, t string")), "i", "t", names, "name", "k", most=1)
+    assert {r["i"]: r["hits"] for r in few.collect()} == {1: ["abcde"], 2: ["bcd"]}
     assert hits(more) == {1: ["x", "de"]} and hits(more.where("k = 0")) == {1: ["x"]} and hits(more.where("k > 5")) == {}
 
 
